@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from echoloom.llm.bytehash import U64, byte_batches, shingle_sets, splitmix, to_bytes
 from echoloom.llm.common import checkpointed, partitions, stored
@@ -314,7 +315,7 @@ def _one_per_set(rows: DataFrame, found: DataFrame, size: int) -> DataFrame:
                 classes += [hashlib.md5(s.tobytes()).digest() for s in shingle_sets([t for _, t in part], size)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(classes, pa.binary())], names=["_key", "text", "rest", "_class"])
 
-    schema = packed.schema.add("_class", "binary")
+    schema = StructType([*packed.schema.fields, StructField("_class", BinaryType())])
     marked = packed.mapInArrow(run, schema)
     stay = found.select(F.col("doc_id").alias("_stay"), F.coalesce("class", F.unhex(F.md5(F.lit("").cast("binary")))).alias("_of")).distinct()
     marked = marked.join(stay, F.col("_key").eqNullSafe(F.col("_stay")) & (F.col("_class") == F.col("_of")))

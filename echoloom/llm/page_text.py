@@ -258,7 +258,7 @@ def shared_lines(keyed: DataFrame) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["host", "path", "key"]
     numbered = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    kind = keyed.schema.add("part", "integer").add("place", "long")
+    kind = "key binary, host string, path string, lines binary, part int, place long"
     numbered = stored(numbered.mapInArrow(_number, kind))
     counts = {r["part"]: r["n"] for r in numbered.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row a partition
     starts, total = [], 0

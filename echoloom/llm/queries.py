@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echoloom.llm import bpe, contamination, cotraining, license_scan, near_dup, page_text, permutation_index, suffix_dedup, url_reputation, warc
+from echoloom.llm import bpe, contamination, cotraining, license_scan, near_dup, oracles, page_text, permutation_index, suffix_dedup, url_reputation, warc
 from echoloom.llm.common import table
 
 #: The rules of op10.
@@ -77,4 +77,11 @@ QUERIES = {
     "op10_host_reputation": op10_host_reputation,
 }
 
-ORACLES: dict[str, str] = {}
+#: The others have no SQL form: a rank table and merges, HTML parsing, alignment, iterative fits.
+ORACLES: dict[str, str] = {
+    "op1_permutation_index": oracles.OP1,
+    "op3_decontamination": oracles.OP3,
+    "op6_minhash_near_dup": oracles.OP6,
+    "op8_suffix_family": oracles.OP8,
+    "op10_host_reputation": oracles.op10(URL_RULES),
+}

@@ -142,7 +142,7 @@ class _Batch:
             return
         sums = PrefixHash(self.buf)
         hashes = sums.windows(gram)
-        rank = (hashes >> U64(32)).astype(np.uint32)
+        rank = np.maximum(hashes >> U64(32), U64(1)).astype(np.uint32)
         least = sliding_min(rank, width)  # for each string start, up to n - min_len
         edge = np.zeros(n + 1, dtype=np.int32)  # the starts at which a whole string fits into a document in use
         np.add.at(edge, self.offsets[:-1][use], 1)
