@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from echoloom.plans import monitoring, relational
+
+QUERIES: dict = {**monitoring.QUERIES, **relational.QUERIES}
+ORACLES: dict[str, str] = {**monitoring.ORACLES, **relational.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+    return monitoring.significant_cells(spark, sf_dir)
