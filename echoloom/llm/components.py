@@ -3,7 +3,8 @@
 Alternating large-star and small-star rounds: every round points nodes at smaller neighbours, so
 that a component ends as a star around its smallest node.  Node minima are partial aggregates and
 the joins can be split on hot nodes, so that no neighbourhood is ever gathered in one task.  Links
-that one task holds are first thinned to a spanning forest there.
+that one task holds are first thinned to a spanning forest there; once no more than THIN_LINKS are
+left, which one task holds in bounded memory, that thinning is the end.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ class Forest:
         return True
 
 
-#: Links thinned at a time.
-THIN_LINKS = 500_000
+#: Links thinned at a time: bounds a task's memory.
+THIN_LINKS = 250_000
 
 
 def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,6 +77,13 @@ def smallest_reachable(links: DataFrame, rounds: int = 60) -> DataFrame:
     edges = checkpointed(edges.mapInArrow(_thin, f"a {kind}, b {kind}").distinct())
     before = None
     for _ in range(rounds):
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now[0] <= THIN_LINKS:
+            edges = edges.coalesce(1).mapInArrow(_thin, f"a {kind}, b {kind}").where("a <> b")
+            break
+        if now == before:
+            break
+        before = now
         # Large star: each node's larger neighbours point at its smallest neighbour or itself.
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -84,10 +92,6 @@ def smallest_reachable(links: DataFrame, rounds: int = 60) -> DataFrame:
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
         inner = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = checkpointed(inner.union(least.select("a", F.col("m").alias("b"))).distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     else:
         raise RuntimeError("the components have not settled")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
+    return checkpointed(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct()))

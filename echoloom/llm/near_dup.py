@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     hubs = postings.groupBy("key").agg(F.min("class").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
     stars = postings.join(hubs, "key").where("class <> hub").select(F.col("class").alias("a"), F.col("hub").alias("b"))
     local = posted.where("key is null").select(F.col("class").alias("a"), F.col("other").alias("b"))
-    families = checkpointed(smallest_reachable(stars.union(local)))
+    families = smallest_reachable(stars.union(local))
 
     members = families.join(classes, families.node == classes["class"]).select("class", F.col("root").alias("family"), "signature", "n_shingles", "bytes")
     tasks = stored(_tasks(members))

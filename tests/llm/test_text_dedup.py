@@ -180,6 +180,17 @@ def test_removal_keeps_characters_whole(spark):
     assert 3 not in out and out[4].text is None and out[4].rest == "l"
 
 
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_components_by_stars_and_by_thinning(spark, monkeypatch, limit):
+    from echoloom.llm import components
+
+    monkeypatch.setattr(components, "THIN_LINKS", limit)
+    links = [(i, i + 1) for i in range(1, 30)] + [(100, 1), (50, 60), (60, 50), (70, 70), (None, 1), (51, 60)]
+    found = components.smallest_reachable(spark.createDataFrame(links, "a long, b long"))
+    expected = {**{i: 1 for i in range(1, 31)}, 100: 1, 50: 50, 60: 50, 51: 50}
+    assert {r.node: r.root for r in found.collect()} == expected and found.count() == len(expected)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.near_duplicates(none).collect() == []
