@@ -8,9 +8,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_upper_tail(z: pd.Series) -> pd.Series:
     """P(Z > z); a z that is missing or not finite gives 1."""
     return z.map(lambda v: 0.5 * math.erfc(v / math.sqrt(2.0)) if v is not None and math.isfinite(v) else 1.0)
