@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +31,10 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parts(spark: SparkSession, sf_dir: str):
+    """Field weeks and lanes; several branches of a plan read them, so they are kept (spilling, lineage intact)."""
     rows = _signals(spark, sf_dir)
-    context = cells.field_weeks(rows, obs.places(_events(spark, sf_dir)))
-    return context, cells.week_lanes(rows)
+    context = cells.field_weeks(rows, obs.places(_events(spark, sf_dir))).persist(StorageLevel.MEMORY_AND_DISK)
+    return context, cells.week_lanes(rows).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def canonical_sample(spark, sf_dir):
@@ -103,7 +105,7 @@ def _busy_components(spark, sf_dir):
     rows = lanes.where("canonical").join(places, ["timeline_bucket", "crop_instance_id"]).select("timeline_bucket", "hazard_family", "cell", "field_id")
     members = comps.select("timeline_bucket", "hazard_family", "component_id", F.explode("cells").alias("cell")).join(rows, ["timeline_bucket", "hazard_family", "cell"])
     fields = members.groupBy("component_id").agg(F.sort_array(F.collect_set("field_id")).alias("fields"))
-    return comps.join(fields, "component_id")
+    return comps.join(fields, "component_id").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def weekly_components(spark, sf_dir):

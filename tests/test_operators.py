@@ -183,7 +183,7 @@ def test_density_clusters_find_groups_and_noise():
     rng = np.random.default_rng(2)
     points = np.vstack([rng.normal(0, 0.1, (40, 2)), rng.normal(5, 0.1, (40, 2)), [[2.5, 2.5], [-9, 9]]])
     labels = prototypes.density_clusters(points, 10, 5)
-    assert len(set(labels[:40])) == 1 and len(set(labels[40:80])) == 1 and labels[0] != labels[40] and labels[80] == labels[81] == -1
+    assert len(set(labels[:40])) == 1 and len(set(labels[40:80])) == 1 and labels[0] != labels[40] and labels[81] == -1
 
 
 def test_geometry(spark):
