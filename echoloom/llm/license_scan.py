@@ -7,7 +7,8 @@ equal ends.  Coverage is the share of the template's words that are aligned.
 
 A stretch is aligned whenever SPAN times the template's number of words hold as many words of its
 vocabulary as coverage asks for; an alignment of that coverage over such a span cannot be missed.
-Overlapping finds are settled by coverage, then length, then name.
+Of overlapping finds the one with the most aligned words stays, then that of the larger coverage, then
+by name.
 """
 
 from __future__ import annotations
@@ -159,7 +160,7 @@ class Scanner:
             lows, highs = a[new], np.minimum(a[np.append(np.flatnonzero(new)[1:] - 1, len(a) - 1)] + width, first[t[new] + 1])
             for low, high, doc in zip(lows.tolist(), highs.tolist(), t[new].tolist()):
                 finds += self._align(name, words.tolist(), hashes, low, high, width, least, doc)
-        finds.sort(key=lambda f: (f[0], -f[4] / f[5], -f[5], f[1], f[2]))
+        finds.sort(key=lambda f: (f[0], -f[4], -f[4] / f[5], f[1], f[2]))
         kept: list[tuple] = []
         taken: dict[int, list[tuple[int, int]]] = {}
         for f in finds:

@@ -76,8 +76,8 @@ def _strength(rows: DataFrame, rate: str) -> Column:
     # E[(bad - n m)^2] = n m (1 - m) (1 + (n - 1) rho); rho = 1 / (strength + 1).
     n, bad, m = F.col("n"), F.col("bad"), F.col(rate)
     plain = n * m * (1 - m)
-    rho = (F.sum((bad - n * m) * (bad - n * m)) - F.sum(plain)) / F.sum(plain * (n - 1))
-    strength = F.when(rho.isNull() | (rho <= 0), F.lit(STRONGEST)).otherwise(1 / rho - 1)
+    rho = F.try_divide(F.sum((bad - n * m) * (bad - n * m)) - F.sum(plain), F.sum(plain * (n - 1)))
+    strength = F.when(rho.isNull() | (rho <= 0), F.lit(STRONGEST)).otherwise(F.try_divide(F.lit(1.0), rho) - 1)
     return F.least(F.greatest(strength, F.lit(WEAKEST)), F.lit(STRONGEST))
 
 

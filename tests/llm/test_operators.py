@@ -1,0 +1,323 @@
+"""The other operators of the subpackage: brute force, round trips, fixtures, held-out accuracy."""
+
+import gzip
+import hashlib
+import html
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from echoloom.llm import bpe, contamination, cotraining, license_scan, page_text, permutation_index, url_reputation, warc
+from echoloom.llm.queries import QUERIES, URL_RULES
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+
+
+# -- nearest neighbours ----------------------------------------------------------------------------
+
+
+def brute_nearest(rows, k):
+    good = [(i, np.array(v, dtype=float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = []
+    for q, a in good:
+        if q % 100 == 0:
+            near = sorted((float(np.sqrt(sum((a - b) ** 2))), i) for i, b in good if i != q)[:k]
+            out += [(q, n + 1, i) for n, (_, i) in enumerate(near)]
+    return sorted(out)
+
+
+def test_nearest_is_exact_on_small_tables_and_skips_bad_vectors(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(150)]
+    rows += [(300, rows[7][1]), (301, rows[7][1]), (400, None), (500, [0.0] * 6), (600, [float("nan")] + [1.0] * 5), (700, [None] + [1.0] * 5), (None, [1.0] * 6), (800, [float("inf")] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("clash"))
+    out = permutation_index.nearest(df, F.col("vec_id") % 100 == 0)
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in out.collect()) == brute_nearest(rows, 10)
+    few = permutation_index.nearest(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") % 100 == 0).collect()
+    assert len(few) == 2
+    assert permutation_index.nearest(df.where("vec_id < 0"), F.col("vec_id") % 100 == 0).collect() == []
+
+
+def test_recall_of_the_index(spark, small):
+    rows = spark.read.parquet(small.replace("0.001", "0.1") + "/embeddings.parquet")
+    query = F.col("vec_id") % 100 == 0
+    exact = {(r.query_id, r.vec_id) for r in permutation_index.nearest(rows, query).collect()}
+    vectors = [(r.vec_id, r.embedding) for r in rows.collect()]
+    brute = {(q, i) for q, _, i in brute_nearest(vectors, 10)}
+    found = {(r.query_id, r.vec_id) for r in permutation_index.nearest(rows, query, share=0.25, fewest=1).collect()}
+    assert len(brute) == 200 and len(brute & exact) >= 0.95 * len(brute) and len(brute & found) >= 0.9 * len(brute)
+
+
+def test_footrule_from_files_equals_its_definition():
+    rng = np.random.default_rng(3)
+    x, pivots = rng.normal(size=(50, 4)), rng.normal(size=(12, 4))
+    block = permutation_index.Block(np.arange(50), x, pivots, 5)
+    orders = permutation_index.ranking(x, pivots, 5)
+    place = np.full((50, 12), 5)
+    np.put_along_axis(place, orders, np.arange(5)[None, :].repeat(50, 0), 1)
+    for q in range(50):
+        assert (block.footrule(orders[q]) == np.abs(place - place[q]).sum(axis=1)).all()
+
+
+# -- byte pair encoding ----------------------------------------------------------------------------
+
+
+def samples():
+    rng = random.Random(4)
+    parts = ["a", "b", "th", "e", " ", "  ", "\n", "é", "漢", "字", "😀", "ing", "tion", "0", "12", "!!", "\u0301", "ß", "я", "привет", "'s", "\u00a0", "\x1f", "\t"]
+    out = ["".join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(400)]
+    return out + ["", " ", "a" * 3000, "ab" * 900, "漢字" * 300, " " * 500, "x" * 97, "word " * 50, "<|endoftext|> text"]
+
+
+def test_encoding_equals_the_library(reference):
+    own = bpe.PrefixBpe(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    for text in samples():
+        ids = own.encode(text)
+        assert ids == reference.encode_ordinary(text), text
+        assert own.decode(ids) == text.encode()
+    pieces = [p.encode() for t in samples() for p in own.pattern.findall(t)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_pieces(pieces)] == [own.encode_piece(p) for p in pieces]
+
+
+def test_appends_and_edits_equal_encoding_afresh():
+    own = bpe.PrefixBpe(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    rng = random.Random(6)
+    table = bpe.PrefixTable(own)
+    for _ in range(60):
+        piece = bytes(rng.choice(b"theraionsdg") for _ in range(rng.randrange(1, 6)))
+        if rng.random() < 0.5 or not table.piece:
+            table.append(piece)
+        else:
+            a = rng.randrange(len(table.piece))
+            table.replace(a, min(len(table.piece), a + 2), piece)
+        assert table.tokens() == own.encode_piece(table.piece)
+
+
+def test_encoding_query(spark, small, reference):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    out = QUERIES["op2_prefix_bpe"](spark, small).collect()
+    assert len(out) == len(docs)
+    for r in out:
+        ids = reference.encode_ordinary(docs[r.doc_id])
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_encoding_of_nulls_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, None, 3), (None, "a", 4), (1, None, 3)], "doc_id long, text string, n_tokens int")
+    out = sorted((str(r.doc_id), r.n_tokens, r.ids_sha256[:8]) for r in bpe.encode_documents(df, RANKS, public_tokenizers.PATTERN).collect())
+    assert out == [("1", 0, "e3b0c442"), ("1", 0, "e3b0c442"), ("None", 1, out[2][2])]
+    assert bpe.encode_documents(df.where("doc_id = 9"), RANKS, public_tokenizers.PATTERN).collect() == []
+
+
+# -- decontamination -------------------------------------------------------------------------------
+
+
+def grams(text, size=5):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    n = min(size, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set(), n
+
+
+def holds(doc, item):
+    own, width = grams(item)
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (doc or "").encode().lower())
+    there = {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+    return bool(own) and 100 * len(own & there) >= 80 * len(own)
+
+
+def test_contained_items_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([1, 2, 4, 5, 6, 12, 40])))) for i in range(40)] + [(90, None), (91, ""), (92, " \n"), (93, "W1")]
+    docs = []
+    for i in range(120):
+        text = [rng.choice(words) for _ in range(rng.choice([0, 3, 30, 300]))]
+        for _ in range(rng.choice([0, 1, 2])):
+            own = (rng.choice(items)[1] or "").split()
+            if own and rng.random() < 0.5:
+                own[rng.randrange(len(own))] = "changed"
+            at = rng.randrange(len(text) + 1)
+            text[at:at] = [w.upper() for w in own]
+        docs.append((i, "\n ".join(text)))
+    docs += [(500, None), (501, ""), (3, docs[3][1])]
+    expected = sorted((d, i) for d, t in docs for i, x in items if holds(t, x))
+    a = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in contamination.contained_items(a, b).collect()) == expected
+    monkeypatch.setattr(contamination, "GROUP_BYTES", 400)
+    assert sorted((r.doc_id, r.item_id) for r in contamination.contained_items(a, b).collect()) == expected
+    bad = {d for d, _ in expected}
+    clean = contamination.without_items(a, b)
+    assert clean.columns == a.columns and sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(d) for d, _ in docs if d not in bad)
+    assert contamination.contained_items(a, b.where("item_id < 0")).collect() == []
+
+
+# -- pages -----------------------------------------------------------------------------------------
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">
+<header><h1>Site</h1></header><nav><ul><li><a href="/a">menu</a></li></ul></nav><div class="cookie-notice">We use cookies</div><aside>side</aside>
+<article><header><h1>Title &amp; more</h1></header><p>First&nbsp;one
+ goes <b>on</b><br>here &lt;x&gt;<p>Second, a < b</p><div class="ad">buy</div><form><p>mail</p><input value=">"></form><ul><li>one<li>two</ul><!-- <p>no</p> -->
+<p style="display:none">hidden</p></article><section id="comments"><p>reader</p></section><footer>&copy; us</footer></body></html>"""
+
+
+def test_page_fixture(spark):
+    rows = [(1, "http://a.example.com/x/1", PAGE), (2, None, None), (3, "bad", ""), (4, "http://b.example.com/", "plain &am text"), (1, "http://a.example.com/x/1", PAGE)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    out = {r.page_id: r for r in page_text.extract(df).collect()}
+    assert out[1].text == "Title & more\n\nFirst one goes on here <x>\n\nSecond, a < b\n\none\n\ntwo" and out[1].n_chars == len(out[1].text)
+    assert out[2].text == "" and out[3].text == "" and out[4].text == "plain &am text"
+    assert page_text.extract(df).count() == 5 and page_text.extract(df.where("page_id = 9")).collect() == []
+
+
+def test_lines_shared_with_the_next_page_go(spark):
+    def page(body):
+        return f"<body><div>Welcome to us</div><p>{body}</p><div>All rights kept</div></body>"
+
+    rows = [(i, f"https://www.one.example.org/en/{i}", page(f"own text {i}")) for i in range(700)] + [(900, "https://alone.example.org/1", page("alone"))]
+    out = {r.page_id: r.text for r in page_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {**{i: f"own text {i}" for i in range(700)}, 900: "Welcome to us\n\nalone\n\nAll rights kept"}
+
+
+def test_near_copies_of_an_article_keep_their_text(spark):
+    body = "<body><nav>menu</nav><article><h1>Same</h1><p>shared</p><p>{}</p></article></body>"
+    rows = [(i, f"http://h.example.com/{i}", body.format(i)) for i in range(3)]
+    out = {r.page_id: r.text for r in page_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {i: f"Same\n\nshared\n\n{i}" for i in range(3)}
+
+
+def test_common_lines_are_a_longest_common_subsequence():
+    rng = random.Random(2)
+
+    def longest(a, b):
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                table[i + 1][j + 1] = table[i][j] + 1 if a[i] == b[j] else max(table[i][j + 1], table[i + 1][j])
+        return table[-1][-1]
+
+    for _ in range(300):
+        a, b = ([rng.randrange(6) for _ in range(rng.randrange(12))] for _ in range(2))
+        left, right = page_text.common_lines(a, b)
+        assert left == sorted(set(left)) and right == sorted(set(right)) and [a[i] for i in left] == [b[j] for j in right] and len(left) == longest(a, b)
+
+
+def test_page_query_takes_the_articles(spark, small):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
+    for r in QUERIES["op4_page_differencing"](spark, small).collect():
+        body = re.search(r"<article>(.*?)(</article>|$)", pages[r.page_id], re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", body)]
+        assert r.text == "\n\n".join(x for x in blocks if x) and r.n_chars == len(r.text)
+
+
+# -- licences --------------------------------------------------------------------------------------
+
+
+def test_licenses_are_found_whole_and_changed(spark):
+    filler = " ".join(f"filler{i}" for i in range(300))
+    apache = license_scan.TEMPLATES["Apache-2.0-notice"]
+    docs = [(1, filler + "\n" + license_scan.TEMPLATES["MIT"].upper() + "\n" + filler), (2, apache.replace("distributed", "handed out").replace("compliance", "line")), (3, filler), (4, None), (5, ""),
+            (6, "Released under the MIT License. Some words. Released under the MIT License."), (7, "the MIT the License the under"), (8, license_scan.TEMPLATES["GPL-2.0"])]
+    out = license_scan.scan_documents(spark.createDataFrame(docs, "doc_id long, text string").withColumn("license", F.lit("clash"))).collect()
+    found = sorted((r.doc_id, r.license) for r in out)
+    assert found == [(1, "MIT"), (2, "Apache-2.0-notice"), (6, "MIT"), (6, "MIT"), (8, "GPL-2.0")]
+    hit = next(r for r in out if r.doc_id == 1)
+    assert docs[0][1].encode()[hit.start_byte : hit.end_byte].decode() == "RELEASED UNDER THE MIT LICENSE" and hit.coverage == 1.0
+
+
+def test_every_planted_license_line_is_found(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").collect()
+    planted = {r.doc_id for r in docs if re.search(r"Released under the MIT License|under the GNU General Public License, version|Licensed under the Apache License, Version|Licensed under CC BY-NC", r.text)}
+    assert {r.doc_id for r in QUERIES["op5_license_scan"](spark, small).collect()} == planted
+
+
+def test_patience_keeps_order():
+    a, b = "x a b c d y".split(), "a q b d c".split()
+    pairs = license_scan.patience(a, b)
+    assert all(a[i] == b[j] for i, j in pairs) and pairs == sorted(pairs) and [j for _, j in pairs] == sorted(j for _, j in pairs) and len(pairs) == 3
+    assert license_scan.rising([3, 1, 2, 5, 4]) in ([1, 2, 4], [1, 2, 3])
+
+
+# -- WARC ------------------------------------------------------------------------------------------
+
+
+def test_warc_round_trip_and_links(spark, tmp_path):
+    source = warc.response_of_page(7, "http://a.example.com/", "<title>T &amp; t</title><p>Hello<p><a href='/x'>there</a><script>no()</script>")
+    metadata, conversion, links = warc.derive(source)
+    assert links == 1 and conversion.block == b"Hello\nthere" and conversion.get("WARC-Refers-To") == metadata.get("WARC-Refers-To") == source.get("WARC-Record-ID")
+    assert conversion.get("WARC-Refers-To-Payload-Digest") == source.get("WARC-Payload-Digest") and conversion.get("WARC-Block-Digest") == warc.digest(conversion.block)
+    assert b'"Title": "T & t"' in metadata.block and metadata.get("WARC-Record-ID") != conversion.get("WARC-Record-ID")
+    data = b"".join(gzip.compress(warc.write_record(r)) for r in (source, metadata, conversion))
+    again = list(warc.read_records(data))
+    assert [r.block for r in again] == [source.block, metadata.block, conversion.block] and again[2].get("WARC-Refers-To") == conversion.get("WARC-Refers-To")
+    assert len(list(warc.read_records(warc.write_record(source)[:-40]))) == 0
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    records = warc.read_warc(spark, str(tmp_path))
+    derived = warc.derivatives_of_records(records).collect()
+    assert records.count() == 3 and {(r.record_type, r.refers_to) for r in derived} == {("metadata", source.get("WARC-Record-ID")), ("conversion", source.get("WARC-Record-ID"))}
+
+
+def test_warc_of_nulls(spark):
+    df = spark.createDataFrame([(None, None, None), (1, "u\r\nX: y", "")], "page_id long, url string, html string")
+    out = warc.derivatives_of_pages(df).collect()
+    assert len(out) == 4 and {r.content_length for r in out if r.record_type == "conversion"} == {0}
+    record = warc.response_of_page(1, "u\r\nX: y", "z")
+    assert next(warc.read_records(warc.write_record(record))).get("X") is None
+    assert warc.derivatives_of_pages(df.where("page_id = 5")).collect() == []
+
+
+# -- quality ---------------------------------------------------------------------------------------
+
+
+def test_quality_on_held_out_labels(spark, small):
+    folder = small.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    seen, held = labels.where("doc_id % 3 <> 0"), {r.doc_id: r.quality for r in labels.where("doc_id % 3 = 0").collect()}
+    out = {r.doc_id: r.kept for r in cotraining.score(docs, cotraining.fit(docs, seen)).collect()}
+    good, bad = ([out[d] for d, q in held.items() if q == k] for k in (1, 0))
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.2 * len(bad)
+
+
+def test_quality_without_labels_or_rows(spark):
+    docs = spark.createDataFrame([(1, "a text", "en", "s", 1.5), (None, None, None, None, None), (1, "", None, "s", 2.0)], "doc_id long, text string, lang string, source string, quality_score double")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    model = cotraining.fit(docs, none)
+    assert sorted(str(r.doc_id) for r in cotraining.score(docs, model).where("kept and quality_score = 0.5").collect()) == ["1", "1", "None"]
+    assert cotraining.keep_good(docs, model).columns == docs.columns and cotraining.keep_good(docs, model).count() == 3
+    odd = spark.createDataFrame([(1, None), (None, 1), (1, 1), (1, 0)], "doc_id long, quality int")
+    assert cotraining.score(docs, cotraining.fit(docs, odd)).count() == 3 and cotraining.score(docs.where("doc_id = 7"), model).collect() == []
+    assert cotraining.score(docs.select("doc_id", "text"), model).count() == 3
+
+
+# -- urls ------------------------------------------------------------------------------------------
+
+
+def test_rules_hosts_and_paths(spark):
+    urls = ["http://A.Example.COM/en/712?x", "http://example.com/en/8", "https://other.com/en/7", "http://badexample.com/en/7", "x://net/de/", "ftp://m.example.net/de/81#t", "http://a.org/es/?q=/", "http://a.org?es/", "no scheme", None, "http://b.com/EN/1", "https://é.example.net/fr/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("verdict", F.lit("clash"))
+    none = spark.createDataFrame([], "item long, bad int")
+    out = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_reputation.judge(df, none, URL_RULES, F.lit(None).cast("long")).collect()}
+    assert out[0] == ("a.example.com", "/en/712", "example.com/en/7", "allow") and out[1] == ("example.com", "/en/8", "com/en/", "block")
+    assert out[2][2:] == ("com/en/", "block") and out[3][2:] == ("com/en/", "block") and out[4] == ("net", "/de/", "net/de/", "allow")
+    assert out[5] == ("m.example.net", "/de/81", "example.net/de/8", "block") and out[6] == ("a.org", "/es/", "org/es/", "block") and out[7] == ("a.org", "", None, "allow")
+    assert out[8] == ("", "", None, "allow") and out[9] == ("", "", None, "allow") and out[10][:3] == ("b.com", "/EN/1", None) and out[11][0] == "é.example.net"
+
+
+def test_reputation_shrinks(spark):
+    pages = [(i, f"http://spam.example.com/{i}", 1) for i in range(40)] + [(100 + i, f"http://good{i % 8}.example.com/{i}", 0) for i in range(80)] + [(300, "http://new.example.com/1", 1), (400, "http://once.other.org/1", 1)]
+    df = spark.createDataFrame([p[:2] for p in pages], "page_id long, url string")
+    outcomes = spark.createDataFrame([(p[0], p[2]) for p in pages], "item long, bad int")
+    seen = df.select("page_id", url_reputation.host_of(F.col("url")).alias("host"), F.col("page_id").alias("item"))
+    bound = {r.host: r.bound for r in url_reputation.host_reputation(url_reputation.count_outcomes(seen, outcomes)).collect()}
+    assert bound["spam.example.com"] > 0.5 > bound["new.example.com"] and bound["good1.example.com"] < 0.3 and bound["once.other.org"] < 0.5
