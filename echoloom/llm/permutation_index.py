@@ -41,9 +41,17 @@ def usable(column: str):
 
 
 def choose_pivots(vectors: DataFrame) -> np.ndarray:
-    """Up to PIVOTS different vectors, far from each other, out of the bounded sample."""
-    by_hash = vectors.select("vector", F.xxhash64("vector").alias("h")).dropDuplicates(["h"]).orderBy("h").limit(PIVOT_SAMPLE)
-    rows = [r["vector"] for r in by_hash.collect()]
+    """Up to PIVOTS different vectors, from the bounded sample.
+
+    The sample has the least hashes of vector content.  Only vectors under a hash bound, which lets
+    about eight times the sample through, are made distinct; all are if that leaves too few.
+    """
+    hashed = vectors.select("vector", F.xxhash64("vector").alias("h"))
+    share = min(1.0, 8 * PIVOT_SAMPLE / max(1, vectors.count()))
+    for bound in [-(1 << 63) + int(share * (1 << 64)) - 1] * (share < 1) + [(1 << 63) - 1]:
+        rows = [r["vector"] for r in hashed.where(F.col("h") <= bound).dropDuplicates(["h"]).orderBy("h").limit(PIVOT_SAMPLE).collect()]
+        if len(rows) >= PIVOTS:
+            break
     if not rows:
         return np.zeros((0, 0))
     width = max(set(map(len, rows)), key=lambda n: (sum(len(r) == n for r in rows), n))
