@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from echoloom.operators import evidence
+from echoloom.operators import evidence, field_stories
 from echoloom.plans import monitoring
 
 DAY = "2024-01-18"
@@ -54,7 +54,24 @@ def prefix_features(spark, sf_dir):
     return evidence.running_features(monitoring._signals(spark, sf_dir), "crop_instance_id").select("crop_instance_id", "timeline_bucket", "observation_date", *kept, *rounded)
 
 
-_NAMES = ["crop_day_ledger", "pressure_day_ledger", "acquisition_ledger", "field_state_as_of", "evidence_timeline", "prefix_features"]
+def _stories(spark, sf_dir):
+    source = _source(spark, sf_dir)
+    return field_stories.field_stories(evidence.pressure_days(source), evidence.acquisition_ledger(source))
+
+
+def field_story_days(spark, sf_dir):
+    return _stories(spark, sf_dir)
+
+
+def field_story_chapters(spark, sf_dir):
+    return field_stories.chapters(_stories(spark, sf_dir))
+
+
+def field_story_windows(spark, sf_dir):
+    return field_stories.windows(_stories(spark, sf_dir))
+
+
+_NAMES = ["field_story_days", "field_story_chapters", "field_story_windows", "crop_day_ledger", "pressure_day_ledger", "acquisition_ledger", "field_state_as_of", "evidence_timeline", "prefix_features"]
 QUERIES = {name: globals()[name] for name in _NAMES}
 
 SOURCE = monitoring.SIGNALS + """,

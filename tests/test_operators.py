@@ -220,6 +220,28 @@ def test_streams_equal_batch(spark, small, tmp_path):
     assert got == sorted((r.event_id, str(r.observation_date), r.event_state) for r in expected.where("event_state <> 'CLOSED_SEASON_BOUNDARY'").collect()) and got
 
 
+def story_days(ranks, responses=None, late=None):
+    from echoloom.operators import field_stories
+
+    rows = []
+    for k, rank in enumerate(ranks):
+        day = date(2025, 1, 1) + timedelta(days=k)
+        lanes = [{"hazard": "heat", "observed": rank is not None, "rank": rank or 0, "day": day}]
+        rows.append(("f", "i", day, lanes, [{"kind": c, "source": day} for c in (responses or {}).get(k, [])]))
+    out = field_stories.compose(pd.DataFrame(rows, columns=["field_id", "crop_instance_id", "decision_date", "lanes", "responses"]), field_stories.FieldStoryPolicy())
+    return [(r.decision_date.day, r.story_state) for r in out.itertuples()]
+
+
+def test_field_stories():
+    assert story_days([0, 2, 0, 0, 0]) == [(2, "CANDIDATE"), (3, "QUIET_PENDING"), (4, "QUIET_PENDING"), (5, "CLOSED_CANDIDATE_EXPIRED")]
+    assert story_days([2, 2, 4]) == [(1, "CANDIDATE"), (2, "ACTIVE"), (3, "SEVERE")]
+    assert story_days([3, 3] + [0] * 7)[-1] == (9, "CLOSED_PRESSURE_QUIET_NO_RESPONSE")
+    assert story_days([3, 3] + [0] * 6 + [None, 0])[-2:] == [(9, "DATA_GAP"), (10, "CLOSED_PRESSURE_QUIET_NO_RESPONSE")]
+    assert story_days([3, 3] + [None] * 7)[-1] == (9, "CLOSED_DATA_CENSORED")
+    got = story_days([3, 3] + [0] * 9, {1: ["medium_decline"], 10: ["recovery"]})
+    assert got[-2] == (10, "RECOVERING") and got[-1] == (11, "CLOSED_RECOVERED")
+
+
 def test_field_weeks_and_cells_have_the_gates(spark, small):
     from echoloom.plans import monitoring
 
