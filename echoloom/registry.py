@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from echoloom.plans import evidence, monitoring, relational
+from echoloom.plans import evidence, monitoring, relational, viewer
 
-QUERIES: dict = {**monitoring.QUERIES, **evidence.QUERIES, **relational.QUERIES}
-ORACLES: dict[str, str] = {**monitoring.ORACLES, **evidence.ORACLES, **relational.ORACLES}
+QUERIES: dict = {**monitoring.QUERIES, **evidence.QUERIES, **relational.QUERIES, **viewer.QUERIES}
+ORACLES: dict[str, str] = {**monitoring.ORACLES, **evidence.ORACLES, **relational.ORACLES, **viewer.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
