@@ -187,8 +187,9 @@ def _tasks(members: DataFrame) -> DataFrame:
     within a factor of 1.25, the most by which linked sets differ) and then by hash into blocks; a
     task is one block, or two blocks of the same or of neighbouring size classes.
     """
-    weight = members.groupBy("family").agg(F.sum("bytes").alias("family_bytes"))
-    members = members.join(weight, "family").withColumn("large", F.col("family_bytes") > BLOCK_BYTES)
+    # Large families are few: at most the members' bytes divided by BLOCK_BYTES.
+    weight = members.groupBy("family").agg(F.sum("bytes").alias("family_bytes")).where(F.col("family_bytes") > BLOCK_BYTES)
+    members = members.join(F.broadcast(weight), "family", "left").withColumn("large", F.col("family_bytes").isNotNull())
     members = members.withColumn("size_class", F.floor(F.log("n_shingles") / F.log(F.lit(1.25))).cast("int"))
     small = members.where("not large").select("*", F.hash("family").alias("task"), F.lit(2).alias("side")).drop("family_bytes", "large", "size_class")
     large = members.where("large")
@@ -196,7 +197,7 @@ def _tasks(members: DataFrame) -> DataFrame:
     above = blocks.select("family", (F.col("size_class") - 1).alias("size_class"), F.col("blocks").alias("blocks_above"))
     below = blocks.select("family", (F.col("size_class") + 1).alias("size_class"), F.col("blocks").alias("blocks_below"))
     keys = ["family", "size_class"]
-    large = large.join(blocks.join(above, keys, "left").join(below, keys, "left"), keys)
+    large = large.join(F.broadcast(blocks.join(above, keys, "left").join(below, keys, "left")), keys)  # a row a size class
     large = large.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
 
     def pair(c1, b1, c2, b2, side):
