@@ -167,7 +167,7 @@ def calendar_spine(spark, sf_dir):
 def scalar_functions(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     day = F.col("o_orderdate").cast("date")
-    return o.where("o_orderkey % 7 = 0").select(
+    return o.select(
         "o_orderkey", nz.token(F.col("o_orderpriority")).alias("priority_token"), nz.stable_id("order", F.col("o_orderkey"), F.col("o_orderstatus"), day).alias("stable"),
         F.md5(F.col("o_orderkey").cast("string")).alias("record"), nz.week_of(day).alias("monday"), F.weekofyear(day).alias("iso_week"), F.date_diff(F.lit("1999-01-01").cast("date"), day).alias("age"),
         F.round(2 * 6371.0088 * F.asin(F.sqrt(F.pow(F.sin(F.radians(F.col("o_custkey") % 90) / 2), 2))), 6).alias("haversine_km"),
