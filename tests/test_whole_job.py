@@ -20,3 +20,13 @@ def test_scalar_functions_give_every_order_its_row(spark, small):
         want[o.o_orderkey] = (f"order_{stable}", record, day - timedelta(day.weekday()), day.isocalendar().week, (date(1999, 1, 1) - day).days)
     assert len(got) == len(want)
     assert {r.o_orderkey: (r.stable, r.record, r.monday, r.iso_week, r.age) for r in got} == want
+
+
+def test_asof_order_looks_up_every_order(spark, small):
+    orders = [(o.o_custkey, o.o_orderdate.date(), o.o_orderkey) for o in orders_of(spark, small)]
+    want = []
+    for cust, day, key in orders:
+        at = day + timedelta(30)
+        want.append((cust, at, key, *max((d, k) for c, d, k in orders if c == cust and d <= at)))
+    got = relational.asof_order(spark, small).select("cust", "at", "probe_key", "day", "last_key").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
