@@ -89,17 +89,17 @@ def significant_cells(spark, sf_dir):
 
 
 def frontier_rows(spark, sf_dir):
-    """Fields within one cell of a cell with two or more active instances."""
-    activity, (context, lanes) = _activity(spark, sf_dir), _parts(spark, sf_dir)
-    busy = activity.where("active_count >= 2").select("timeline_bucket", "hazard_family", "cell_x", "cell_y")
+    """Fields within one cell of a significant cell."""
+    context, lanes = _parts(spark, sf_dir)
+    found = significant_cells(spark, sf_dir).where("is_significant").select("timeline_bucket", "hazard_family", "cell_x", "cell_y")
     places = cells.on_grid(context, GRID).select("timeline_bucket", "crop_instance_id", "cell_x", "cell_y")
     rows = lanes.where("canonical").join(places, ["timeline_bucket", "crop_instance_id"]).select("timeline_bucket", "hazard_family", "cell_x", "cell_y", "field_id", "event_state")
-    return temporal.near_cells(rows, busy, ["timeline_bucket", "hazard_family"], "cell_x", "cell_y", 1)
+    return temporal.near_cells(rows, found, ["timeline_bucket", "hazard_family"], "cell_x", "cell_y", 1)
 
 
-def _busy_components(spark, sf_dir):
-    activity, (context, lanes) = _activity(spark, sf_dir), _parts(spark, sf_dir)
-    labelled = tracking.weekly_components(activity.where("active_count >= 2"))
+def _components(spark, sf_dir):
+    context, lanes = _parts(spark, sf_dir)
+    labelled = tracking.weekly_components(significant_cells(spark, sf_dir).where("is_significant"))
     comps = tracking.component_summary(labelled)
     places = cells.on_grid(context, GRID).select("timeline_bucket", "crop_instance_id", F.concat_ws(":", F.lit("g"), F.col("cell_x").cast("string"), F.col("cell_y").cast("string")).alias("cell"))
     rows = lanes.where("canonical").join(places, ["timeline_bucket", "crop_instance_id"]).select("timeline_bucket", "hazard_family", "cell", "field_id")
@@ -109,12 +109,12 @@ def _busy_components(spark, sf_dir):
 
 
 def weekly_components(spark, sf_dir):
-    comps = _busy_components(spark, sf_dir)
+    comps = _components(spark, sf_dir)
     return comps.select("timeline_bucket", "hazard_family", "component_id", "cell_count", F.to_json("cells").alias("cell_ids_json"), F.size("fields").alias("field_count"))
 
 
 def link_scores(spark, sf_dir):
-    return tracking.score_links(_busy_components(spark, sf_dir))
+    return tracking.score_links(_components(spark, sf_dir))
 
 
 def primary_links(spark, sf_dir):
@@ -127,7 +127,7 @@ def exposure_lineage(spark, sf_dir):
 
 
 def exposures(spark, sf_dir):
-    comps = _busy_components(spark, sf_dir)
+    comps = _components(spark, sf_dir)
     return tracking.exposures(comps, tracking.primary_links(tracking.score_links(comps)))
 
 
