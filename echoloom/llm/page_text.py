@@ -3,8 +3,8 @@
 1. A page becomes text lines (blocks), each with what its markup says: inside boilerplate (menus,
    headers, footers, sidebars, notices, adverts, forms, reader comments), inside the article, or
    nothing.
-2. Pages of a host are sorted by URL path; each is paired with the pages next to it.  Pairs are
-   aligned by the longest common subsequence of their lines, and lines of the alignment are shared.
+2. Pages of a host are sorted by URL path; each is paired with the nearest page on either side whose
+   lines are not all the same, so that exact copies do not delete each other.  Pairs are aligned by the longest common subsequence of their lines, and lines of the alignment are shared.
 3. Shared lines are deleted, but for lines inside an article element: near copies of an article on
    neighbouring URLs share whole paragraphs, which are text and not template.  Of lines that are not
    shared, those inside boilerplate markup are deleted as well: adverts and footers differ from page
@@ -16,6 +16,7 @@ is found from sorted keys alone, so that one host with a third of all pages is s
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -211,16 +212,22 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts the rows of a sorted partition."""
-    seen = 0
+    """Counts the runs of a sorted partition (pages on end of one host with the same lines), and marks the first row of each."""
+    run, last = -1, None
     for batch in batches:
-        place = pa.array(np.arange(seen, seen + batch.num_rows), pa.int64())
-        seen += batch.num_rows
-        yield pa.RecordBatch.from_arrays([*batch.columns, place], names=[*batch.schema.names, "place"])
+        places, heads, digests = [], [], []
+        for host, lines in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
+            digest = hashlib.md5((host or "").encode("utf-8", "surrogatepass") + b"\x1f" + lines).digest()
+            heads.append(digest != last)
+            run, last = run + heads[-1], digest
+            places.append(run)
+            digests.append(digest)
+        added = [pa.array(places, pa.int64()), pa.array(heads, pa.bool_()), pa.array(digests, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "place", "head", "digest"])
 
 
 def _compare(key, table):
-    """The pages of a block in order, and those just before and after it: shared lines of each page."""
+    """The runs of a block in order, and those just before and after it: shared lines of each run."""
     rows = table.sort_by([("rank", "ascending")]).to_pydict()
     lines = [np.frombuffer(x, dtype="<u8").tolist() for x in rows["lines"]]
     shared: list[set[int]] = [set() for _ in lines]
@@ -231,10 +238,10 @@ def _compare(key, table):
             shared[i].update(b)
     own = [i for i, ours in enumerate(rows["own"]) if ours]
     found = [np.array(sorted(shared[i]), dtype="<i4").tobytes() for i in own]
-    return pa.table({"key": pa.array([rows["key"][i] for i in own], pa.binary()), "shared": pa.array(found, pa.binary())})
+    return pa.table({"rank": pa.array([rows["rank"][i] for i in own], pa.int64()), "shared": pa.array(found, pa.binary())})
 
 
-#: Pages that are compared in one task step.
+#: Runs of pages that are compared in one task step.
 BLOCK_PAGES = 256
 
 
@@ -251,41 +258,45 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shared_lines(keyed: DataFrame) -> DataFrame:
     """(key, host, path, lines) to (key, shared): which lines a page shares with those next to it.
 
-    Pages are ranked by host, path and key with a distributed sort; a block holds BLOCK_PAGES ranks
-    and the one page before and after.  Blocks without a host share nothing: an empty host is no site.
+    Pages are sorted by host, path and key with a distributed sort, and their runs are ranked: pages on
+    end with the same lines are one, of which the first is compared and all get the result.  A block holds
+    BLOCK_PAGES ranks and the one before and after.  Pages without a host share nothing: an empty host is no site.
     """
     spark = keyed.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["host", "path", "key"]
     numbered = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    kind = "key binary, host string, path string, lines binary, part int, place long"
+    kind = "key binary, host string, path string, lines binary, part int, place long, head boolean, digest binary"
     numbered = stored(numbered.mapInArrow(_number, kind))
-    counts = {r["part"]: r["n"] for r in numbered.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row a partition
-    starts, total = [], 0
-    for part in sorted(counts):
-        starts.append((part, total))
-        total += counts[part]
-    first = F.broadcast(spark.createDataFrame(starts, "part int, first long"))  # one row a partition
-    ranked = numbered.join(first, "part").withColumn("rank", F.col("first") + F.col("place")).drop("part", "place", "first")
+    ends = numbered.groupBy("part").agg(F.max("place").alias("last"), F.min_by("digest", "place").alias("a"), F.max_by("digest", "place").alias("b")).collect()  # one row a partition
+    starts, total, before = [], 0, None
+    for row in sorted(ends, key=lambda r: r["part"]):
+        goes_on = row["a"] == before  # the run before ends here, or later
+        starts.append((row["part"], total - goes_on, goes_on))
+        total, before = total - goes_on + row["last"] + 1, row["b"]
+    first = F.broadcast(spark.createDataFrame(starts, "part int, first long, goes_on boolean"))  # one row a partition
+    ranked = numbered.where("host <> ''").join(first, "part").withColumn("rank", F.col("first") + F.col("place"))
+    heads = ranked.where("head and not (goes_on and place = 0)")
     block = F.floor(F.col("rank") / BLOCK_PAGES)
     before = F.when(F.pmod("rank", F.lit(BLOCK_PAGES)) == 0, block - 1)
     after = F.when(F.pmod("rank", F.lit(BLOCK_PAGES)) == BLOCK_PAGES - 1, block + 1)
     both = F.filter(F.array(F.struct(block.alias("block"), F.lit(True).alias("own")), F.struct(before.alias("block"), F.lit(False).alias("own")), F.struct(after.alias("block"), F.lit(False).alias("own"))), lambda x: x["block"].isNotNull())
-    spread = ranked.where("host <> ''").withColumn("at", F.explode(both)).select("key", "host", "lines", "rank", "at.block", "at.own")
-    return spread.groupBy("block").applyInArrow(_compare, "key binary, shared binary")
+    spread = heads.withColumn("at", F.explode(both)).select("host", "lines", "rank", "at.block", "at.own")
+    found = spread.groupBy("block").applyInArrow(_compare, "rank long, shared binary").where(F.length("shared") > 0)
+    return ranked.select("key", "rank").join(found, "rank").select("key", "shared")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of (page_id, url, html).
 
-    A null or empty html has an empty text.  Repeated rows are neighbours of each other and each get
+    A null or empty html has an empty text.  Repeated rows count as one page and each get
     a row; pages without a host, or alone on theirs, are judged by their markup only.
     """
     key = F.unhex(F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in ("page_id", "url", "html")])))
     rows = pages.select("page_id", "url", F.col("html").cast("string"), key.alias("key"))
     described = rows.select("key", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     shared = shared_lines(described.mapInArrow(_describe, "key binary, host string, path string, lines binary"))
-    shared = shared.where(F.length("shared") > 0).groupBy("key").agg(F.max("shared").alias("shared"))
+    shared = shared.groupBy("key").agg(F.max("shared").alias("shared"))
     joined = rows.join(shared, "key", "left").select("page_id", "url", "html", "shared")
     kind = f"page_id {dict(pages.dtypes)['page_id']}, url string, text string, n_chars long"
     return joined.mapInArrow(_extract, kind)

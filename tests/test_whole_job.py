@@ -5,6 +5,9 @@ import json
 from collections import Counter
 from datetime import date, timedelta
 
+import pytest
+
+from echoloom.llm import page_text
 from echoloom.operators import cells
 from echoloom.plans import monitoring, relational
 
@@ -70,3 +73,17 @@ def test_frontier_is_beside_significant_cells(spark, small):
             want[r.timeline_bucket, r.hazard_family, *place, r.field_id, r.event_state] += 1
     got = monitoring.frontier_rows(spark, small).select("timeline_bucket", "hazard_family", "cell_x", "cell_y", "field_id", "event_state").collect()
     assert want and Counter(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("copies", (2, 600))
+def test_copies_without_an_article_keep_their_text(spark, copies):
+    def page(body):
+        return f"<body><div>Welcome to us</div><p>{body}</p><div>All rights kept</div></body>"
+
+    repeated = [(1, "https://one.example.org/a", page("first"))] * copies
+    neighbours = [(1000 + i, f"https://one.example.org/b{i:04}", page("second")) for i in range(copies)]
+    alone = [(9000 + i, f"https://two.example.org/{i:04}", page("all alike")) for i in range(copies)]
+    rows = repeated + neighbours + [(2, "https://one.example.org/c", page("third"))] + alone
+    got = page_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    want = [(1, "first")] * copies + [(i, "second") for i, _, _ in neighbours] + [(2, "third")] + [(i, "Welcome to us\n\nall alike\n\nAll rights kept") for i, _, _ in alone]
+    assert sorted((r.page_id, r.text) for r in got) == sorted(want)
