@@ -218,6 +218,10 @@ def _tasks(members: DataFrame) -> DataFrame:
     return small.unionByName(large)
 
 
+#: The least similarity for which the size classes, MOST_DISTANCE and the chunks are made.
+LEAST_PERCENT = 80
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of (doc_id, text).
 
@@ -226,6 +230,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     themselves; a text of fewer than `size` words is one shingle.  Repeated rows each get a row.  A
     null doc_id is never a component's id unless all its members' are null; such rows are not kept.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"percent must be at least {LEAST_PERCENT}: size classes, distance bound and chunks hold from there on")
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     kind = "doc_id long, n_shingles long, bytes long, class binary, signature binary"

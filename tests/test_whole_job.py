@@ -8,7 +8,7 @@ from datetime import date, timedelta
 import numpy as np
 import pytest
 
-from echoloom.llm import page_text, permutation_index
+from echoloom.llm import near_dup, page_text, permutation_index
 from echoloom.operators import cells
 from echoloom.plans import monitoring, relational
 
@@ -105,3 +105,10 @@ def test_recall_in_blocks_of_ten_thousand_rows():
         far[q] = np.inf
         right += len(set(near.tolist()) & set(np.argsort(far, kind="stable")[:10].tolist()))
     assert right >= 0.95 * 10 * len(asked), right
+
+
+def test_similarities_that_the_size_classes_would_miss_are_refused(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for operator in (near_dup.near_duplicates, near_dup.keep_one_of_each):
+        with pytest.raises(ValueError, match="at least 80"):
+            operator(docs, percent=79)
