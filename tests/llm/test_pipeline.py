@@ -5,7 +5,7 @@ import hashlib
 import numpy as np
 import public_tokenizers
 import tiktoken
-from test_operators import holds
+from test_corpus_operators import holds
 from test_text_dedup import brute_rows, shingles
 
 import corpus_pipeline
