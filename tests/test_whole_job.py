@@ -5,10 +5,6 @@ import json
 from collections import Counter
 from datetime import date, timedelta
 
-import numpy as np
-import pytest
-
-from echoloom.llm import near_dup, page_text, permutation_index
 from echoloom.operators import cells
 from echoloom.plans import monitoring, relational
 
@@ -74,41 +70,3 @@ def test_frontier_is_beside_significant_cells(spark, small):
             want[r.timeline_bucket, r.hazard_family, *place, r.field_id, r.event_state] += 1
     got = monitoring.frontier_rows(spark, small).select("timeline_bucket", "hazard_family", "cell_x", "cell_y", "field_id", "event_state").collect()
     assert want and Counter(map(tuple, got)) == want
-
-
-@pytest.mark.parametrize("copies", (2, 600))
-def test_copies_without_an_article_keep_their_text(spark, copies):
-    def page(body):
-        return f"<body><div>Welcome to us</div><p>{body}</p><div>All rights kept</div></body>"
-
-    repeated = [(1, "https://one.example.org/a", page("first"))] * copies
-    neighbours = [(1000 + i, f"https://one.example.org/b{i:04}", page("second")) for i in range(copies)]
-    alone = [(9000 + i, f"https://two.example.org/{i:04}", page("all alike")) for i in range(copies)]
-    rows = repeated + neighbours + [(2, "https://one.example.org/c", page("third"))] + alone
-    got = page_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
-    want = [(1, "first")] * copies + [(i, "second") for i, _, _ in neighbours] + [(2, "third")] + [(i, "Welcome to us\n\nall alike\n\nAll rights kept") for i, _, _ in alone]
-    assert sorted((r.page_id, r.text) for r in got) == sorted(want)
-
-
-def test_recall_in_blocks_of_ten_thousand_rows():
-    rng = np.random.default_rng(11)
-    x = rng.normal(size=(400, 64))[rng.integers(0, 400, 20_000)] + 1.5 * rng.normal(size=(20_000, 64))
-    ids, pivots = np.arange(len(x)), x[rng.permutation(len(x))[: permutation_index.PIVOTS]]
-    blocks = [permutation_index.Block(part, x[part], pivots, permutation_index.RANKED) for part in np.split(ids, 2)]
-    asked = ids[::200]
-    orders = permutation_index.ranking(x[asked], pivots, permutation_index.RANKED)
-    right = 0
-    for q, order in zip(asked, orders):
-        found = [b.search(x[q], order, q, 10, permutation_index.SHARE, permutation_index.FEWEST) for b in blocks]
-        near = np.concatenate([f[0] for f in found])[np.argsort(np.concatenate([f[1] for f in found]), kind="stable")[:10]]
-        far = ((x - x[q]) ** 2).sum(axis=1)
-        far[q] = np.inf
-        right += len(set(near.tolist()) & set(np.argsort(far, kind="stable")[:10].tolist()))
-    assert right >= 0.95 * 10 * len(asked), right
-
-
-def test_similarities_that_the_size_classes_would_miss_are_refused(spark, small):
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    for operator in (near_dup.near_duplicates, near_dup.keep_one_of_each):
-        with pytest.raises(ValueError, match="at least 80"):
-            operator(docs, percent=79)
