@@ -35,14 +35,53 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Tables that this process has written to the shared folder and not taken away again.
+_WRITTEN: list[str] = []
+
+
+def _new_table(spark: SparkSession) -> str:
+    _WRITTEN.append(f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
 def stored(df: DataFrame) -> DataFrame:
     """As checkpointed, but written as compressed Parquet: for tables of more than a few MB."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = _new_table(spark)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """A mark for `release`: how many tables there are by now."""
+    return len(_WRITTEN)
+
+
+def release(spark: SparkSession, mark: int, but: int = 0) -> None:
+    """Deletes the tables written since `mark`, save the last `but`: for steps whose result is stored."""
+    gone = _WRITTEN[mark : len(_WRITTEN) - but]
+    _WRITTEN[mark : len(_WRITTEN) - but] = []
+    for path in gone:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Passes:
+    """Rows of several jobs in one stored table, so that no plan holds more than one of the jobs."""
+
+    def __init__(self, spark: SparkSession, schema: str) -> None:
+        self.spark, self.schema, self.path = spark, schema, None
+
+    def add(self, df: DataFrame) -> None:
+        self.path = self.path or _new_table(self.spark)
+        df.write.mode("append").option("compression", "zstd").parquet(self.path)
+
+    def all(self) -> DataFrame:
+        if self.path is None:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def total_bytes(docs: DataFrame, column: str = "text") -> int:
     """The UTF-8 bytes in a text column: sizes partitions, never results."""
     row = docs.agg(F.sum(F.octet_length(column)).alias("n")).first()

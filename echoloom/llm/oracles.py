@@ -13,19 +13,6 @@ def shingles(size: int) -> str:
     return f"CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < {size} THEN [array_to_string(w, chr(31))] ELSE list_distinct(list_transform(range(1, len(w) - {size} + 2), lambda i: {joined})) END"
 
 
-OP1 = """
-WITH v AS (
-  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-d AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         sqrt(list_reduce(list_prepend(0::DOUBLE, list_transform(list_zip(q.e, c.e), lambda p: (p[2] - p[1]) * (p[2] - p[1]))), lambda a, b: a + b)) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
-SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
-"""
-
 OP3 = f"""
 WITH dw AS (SELECT doc_id, {WORDS} AS w FROM documents),
 iw AS (SELECT DISTINCT item_id, {WORDS} AS w FROM benchmark WHERE text IS NOT NULL),

@@ -36,33 +36,83 @@ def brute_nearest(rows, k):
     return sorted(out)
 
 
-def test_nearest_is_exact_on_small_tables_and_skips_bad_vectors(spark):
+def test_nearest_is_exact_on_tiny_tables_and_skips_bad_vectors(spark):
     rng = np.random.default_rng(1)
-    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(150)]
-    rows += [(300, rows[7][1]), (301, rows[7][1]), (400, None), (500, [0.0] * 6), (600, [float("nan")] + [1.0] * 5), (700, [None] + [1.0] * 5), (None, [1.0] * 6), (800, [float("inf")] * 6)]
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(30)]
+    rows += [(100, [float(x) for x in rng.normal(size=6)]), (300, rows[7][1]), (301, rows[7][1]), (400, None), (500, [0.0] * 6), (600, [float("nan")] + [1.0] * 5), (700, [None] + [1.0] * 5), (None, [1.0] * 6), (800, [float("inf")] * 6), (900, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("clash"))
     out = permutation_index.nearest(df, F.col("vec_id") % 100 == 0)
-    assert sorted((r.query_id, r["rank"], r.vec_id) for r in out.collect()) == brute_nearest(rows, 10)
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in out.collect()) == brute_nearest([r for r in rows if r[1] != []], 10)
     few = permutation_index.nearest(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") % 100 == 0).collect()
     assert len(few) == 2
     assert permutation_index.nearest(df.where("vec_id < 0"), F.col("vec_id") % 100 == 0).collect() == []
 
 
-def test_recall_of_the_index(spark, small):
-    rows = spark.read.parquet(small.replace("0.001", "0.1") + "/embeddings.parquet")
-    query = F.col("vec_id") % 100 == 0
-    exact = {(r.query_id, r.vec_id) for r in permutation_index.nearest(rows, query).collect()}
-    vectors = [(r.vec_id, r.embedding) for r in rows.collect()]
-    brute = {(q, i) for q, _, i in brute_nearest(vectors, 10)}
-    found = {(r.query_id, r.vec_id) for r in permutation_index.nearest(rows, query, share=0.25, fewest=1).collect()}
-    assert len(brute) == 200 and len(brute & exact) >= 0.95 * len(brute) and len(brute & found) >= 0.9 * len(brute)
+def test_repeated_rows_copies_and_lengths(spark):
+    rng = np.random.default_rng(2)
+    vectors = [[float(x) for x in rng.normal(size=4)] for _ in range(5)]
+    # One id with two vectors, whole repeats, 30 copies of one vector, another length, and signed zeros.
+    rows = [(0, vectors[0]), (1, vectors[1]), (1, vectors[2]), (1, vectors[1]), (100, vectors[3]), (100, vectors[3])]
+    rows += [(10 + i, vectors[0]) for i in range(30)] + [(200, [1.0, 2.0]), (201, [1.0, 2.5]), (300, [1.0, 0.0, 0.0, 0.0]), (301, [1.0, -0.0, 0.0, 0.0])]
+    out = permutation_index.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0).collect()
+    expected = []
+    for q in (0, 100, 200, 300):
+        own = min(v for i, v in rows if i == q)
+        near = {}
+        for i, v in rows:
+            if i != q and len(v) == len(own):
+                far = float(np.sqrt(sum((a - b) ** 2 for a, b in zip(own, v))))
+                near[i] = min(far, near.get(i, far))
+        expected += [(q, n + 1, i) for n, (_, i) in enumerate(sorted((d, i) for i, d in near.items())[:10])]
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in out) == sorted(expected)
+
+
+def measured_share(x, rows, k=10):
+    """How much of a block is measured again, and the recall of it, at the shipped setting."""
+    ids, pivots = np.arange(len(x)), x[np.random.default_rng(5).permutation(len(x))[: permutation_index.PIVOTS]]
+    blocks = [permutation_index.Block(part, x[part], pivots, permutation_index.RANKED) for part in np.array_split(ids, -(-len(x) // rows))]
+    asked = ids[:: max(1, len(x) // 60)]
+    right = seen = 0
+    for q, order in zip(asked, permutation_index.ranking(x[asked], pivots, permutation_index.RANKED)):
+        seen += sum(len(b.candidates(order, k, permutation_index.SHARE)) for b in blocks)
+        found = [b.search(x[q], order, q, k) for b in blocks]
+        near = np.concatenate([f[0] for f in found])[np.argsort(np.concatenate([f[1] for f in found]), kind="stable")[:k]]
+        far = ((x - x[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        right += len(set(near.tolist()) & set(np.argsort(far, kind="stable")[:k].tolist()))
+    return seen / len(x) / len(asked), right / k / len(asked)
+
+
+@pytest.mark.parametrize("count", [500, 2000, 10_000, 50_000])
+def test_recall_at_the_shipped_share(count):
+    rng = np.random.default_rng(count)
+    x = rng.normal(size=(max(4, count // 50), 64))[rng.integers(0, max(4, count // 50), count)] + 1.5 * rng.normal(size=(count, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    share, recall = measured_share(x, 10_000)
+    # Measuring everything would be found out by the share, ranking by anything else by the recall.
+    assert share <= permutation_index.SHARE + 0.01 and recall >= 0.9
+
+
+def test_the_footrule_ranks_the_candidates(monkeypatch):
+    x = np.random.default_rng(7).normal(size=(2000, 16))
+    good = measured_share(x, 10_000)[1]
+    monkeypatch.setattr(permutation_index.Block, "footrule", lambda self, order: np.zeros(len(self.vectors), np.int32))
+    assert good >= 0.9 and measured_share(x, 10_000)[1] < 0.4
+
+
+def test_recall_of_the_query(spark, small):
+    for folder, answers in (("0.01", 50), ("0.1", 200)):
+        rows = spark.read.parquet(small.replace("0.001", folder) + "/embeddings.parquet")
+        found = {(r.query_id, r.vec_id) for r in permutation_index.nearest(rows, F.col("vec_id") % 100 == 0).collect()}
+        brute = {(q, i) for q, _, i in brute_nearest([(r.vec_id, r.embedding) for r in rows.collect()], 10)}
+        assert len(brute) == answers and len(brute & found) >= 0.9 * answers
 
 
 def test_footrule_from_files_equals_its_definition():
     rng = np.random.default_rng(3)
     x, pivots = rng.normal(size=(50, 4)), rng.normal(size=(12, 4))
     block = permutation_index.Block(np.arange(50), x, pivots, 5)
-    orders = permutation_index.ranking(x, pivots, 5)
+    orders = permutation_index.ranking(block.vectors, pivots, 5)
     place = np.full((50, 12), 5)
     np.put_along_axis(place, orders, np.arange(5)[None, :].repeat(50, 0), 1)
     for q in range(50):

@@ -1,9 +1,8 @@
 """Whole-table behaviour of the corpus operators, against brute force in Python."""
 
-import numpy as np
 import pytest
 
-from echoloom.llm import near_dup, page_text, permutation_index
+from echoloom.llm import near_dup, page_text
 
 
 @pytest.mark.parametrize("copies", (2, 600))
@@ -20,23 +19,6 @@ def test_copies_without_an_article_keep_their_text(spark, copies):
     assert sorted((r.page_id, r.text) for r in got) == sorted(want)
 
 
-def test_recall_in_blocks_of_ten_thousand_rows():
-    rng = np.random.default_rng(11)
-    x = rng.normal(size=(400, 64))[rng.integers(0, 400, 20_000)] + 1.5 * rng.normal(size=(20_000, 64))
-    ids, pivots = np.arange(len(x)), x[rng.permutation(len(x))[: permutation_index.PIVOTS]]
-    blocks = [permutation_index.Block(part, x[part], pivots, permutation_index.RANKED) for part in np.split(ids, 2)]
-    asked = ids[::200]
-    orders = permutation_index.ranking(x[asked], pivots, permutation_index.RANKED)
-    right = 0
-    for q, order in zip(asked, orders):
-        found = [b.search(x[q], order, q, 10, permutation_index.SHARE, permutation_index.FEWEST) for b in blocks]
-        near = np.concatenate([f[0] for f in found])[np.argsort(np.concatenate([f[1] for f in found]), kind="stable")[:10]]
-        far = ((x - x[q]) ** 2).sum(axis=1)
-        far[q] = np.inf
-        right += len(set(near.tolist()) & set(np.argsort(far, kind="stable")[:10].tolist()))
-    assert right >= 0.95 * 10 * len(asked), right
-
-
 def test_similarities_that_the_size_classes_would_miss_are_refused(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     for operator in (near_dup.near_duplicates, near_dup.keep_one_of_each):
