@@ -11,14 +11,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from echoloom.llm import bpe, contamination, cotraining, near_dup, suffix_dedup
-from echoloom.llm.common import stored, table
+from echoloom.llm.common import release, stored, table, written
 
 #: Fifty words and the spaces between them have at least this many bytes.
 PASSAGE_BYTES = 99
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return cotraining.keep_good(docs, cotraining.fit(docs, table(spark, sf_dir, "labels")))
+    return cotraining.keep_good(docs, cotraining.fit(cotraining.features(docs), table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.encode_documents(docs, path, public_tokenizers.PATTERN)
+    return bpe.encode_documents(docs, path, public_tokenizers.PATTERN, with_ids=True)
 
 
 STAGES = [
@@ -53,7 +53,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
+        mark = written()
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs)
+            release(spark, mark, but=1)  # what the stage wrote on its way
     return docs

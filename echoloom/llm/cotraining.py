@@ -1,35 +1,45 @@
 """Quality classifier by co-training.
 
-Two views of a document: its text content, and the metadata of its page (language, source, length,
-and how the text lies on the page: lines, their lengths).  Each view has its own logistic model.
-Over rounds, each model labels the unlabelled examples that it is surest of, and these join the
-other model's training set.  Both are then calibrated on held-out labels (Platt), and a logistic
-combination of the two calibrated views scores every document.
-
-Fitting uses a bounded sample: at most SAMPLE labelled documents, and as many unlabelled, both
-chosen by the least hashes of doc_id (documented limit; scoring covers every document).  Only the
-sample's feature vectors, WIDTH numbers each, come to the driver.  Scoring is one narrow pass.
+Two views of a document: its text content (kinds of characters, words, repetition; nothing of its
+length), and the metadata that came with it (language, source, the stated number of characters;
+nothing of its text).  Each view has its own logistic model, calibrated on labels held out (Platt).
+Over rounds, each model labels the unlabelled documents that it is sure of by its calibrated chance,
+all of them, and the other model is fitted again with these pseudo-labels beside its labelled rows.  A
+logistic combination of the views, fitted on further labels held out, scores every document.
+
+*Sizes.*  A document's features, WIDTH numbers, are computed once and stored.  The labelled rows are
+a bounded sample (`most_labelled`, a parameter, by the least hashes of doc_id).  The unlabelled
+documents are all others: a round is one pass over their features, which sums for each view and
+pseudo-label the curvature and gradient of the loss; the sums (fixed size) are added up in a tree, so
+that neither a task nor the driver ever holds more than FAN of them.  A pseudo-label weighs at most
+half of a labelled row, and those of a class together at most half of its labelled rows.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echoloom.llm.bytehash import _LOWER, PrefixHash, U64, byte_batches, join_texts, to_bytes, word_spans
+from echoloom.llm.bytehash import _LOWER, U64, PrefixHash, byte_batches, join_texts, to_bytes, word_spans
+from echoloom.llm.common import stored
 
-#: Labelled documents, and unlabelled ones, that a fit may use.
-SAMPLE = 6000
-ROUNDS = 4
-#: Examples of each class that a view hands over in a round, at least this sure.
-HAND_OVER, SURE = 150, 0.97
+#: The default bound of the labelled sample.
+LABELLED = 6000
+ROUNDS = 3
+#: A view hands over the documents that it is at least this sure of.
+SURE = 0.97
+RIDGE = 5.0
 #: Hashed words of the text view, hashed names of the metadata view.
 WORD_SLOTS, NAME_SLOTS = 128, 32
+#: Sums that are added up at once.
+FAN = 32
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[ord("a") : ord("z") + 1] = 1
 _KIND[ord("A") : ord("Z") + 1] = 2
@@ -39,11 +49,14 @@ _KIND[ord("\n")] = 5
 _KIND[[ord(c) for c in ".,;:?'\"-()"]] = 6
 _KIND[128:] = 7
 KINDS = 8
-TEXT_STATS = KINDS + 9
+TEXT_STATS = KINDS + 8
 TEXT_WIDTH = TEXT_STATS + WORD_SLOTS
-META_STATS = 4
-META_WIDTH = META_STATS + 2 * NAME_SLOTS
+#: Stated length, whether it is stated, and its octave.
+OCTAVES = 16
+META_STATS = 2 + OCTAVES
+META_WIDTH = META_STATS + 3 * NAME_SLOTS
 WIDTH = TEXT_WIDTH + META_WIDTH
+VIEWS = (slice(0, TEXT_WIDTH), slice(TEXT_WIDTH, WIDTH))
 
 
 def _per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -86,8 +99,7 @@ def text_features(texts: list[bytes]) -> np.ndarray:
     order = np.lexsort((pairs, owner))
     fresh[1:] = (pairs[order][1:] != pairs[order][:-1]) | (owner[order][1:] != owner[order][:-1])
     out[:, 14] = np.bincount(owner[order][fresh], minlength=n) / some
-    out[:, 15] = np.log1p(count) / 10
-    out[:, 16] = _per_text(words[1:] == words[:-1], np.minimum(first, max(len(words) - 1, 0))) / some if len(words) > 1 else 0
+    out[:, 15] = _per_text(words[1:] == words[:-1], np.minimum(first, max(len(words) - 1, 0))) / some if len(words) > 1 else 0
     slot = (words >> U64(32)).astype(np.int64) % WORD_SLOTS
     sign = np.where((words & U64(1)) == 1, 1.0, -1.0)
     hashed = np.bincount(owner * WORD_SLOTS + slot, weights=sign, minlength=n * WORD_SLOTS).reshape(n, WORD_SLOTS)
@@ -95,30 +107,27 @@ def text_features(texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def meta_features(names: list[tuple[str | None, str | None]], texts: list[bytes]) -> np.ndarray:
-    """The metadata view: language and source by hash, length, and the page's lines."""
-    import zlib
-
-    out = np.zeros((len(texts), META_WIDTH))
-    for i, ((lang, source), text) in enumerate(zip(names, texts)):
-        lines = text.count(b"\n") + 1
-        out[i, 0] = np.log1p(len(text)) / 10
-        out[i, 1] = np.log1p(lines) / 5
-        out[i, 2] = np.log1p(len(text) / lines) / 10
-        out[i, 3] = 1.0 if len(text) < 200 else 0.0
-        out[i, META_STATS + zlib.crc32(repr(lang).encode()) % NAME_SLOTS] = 1.0
-        out[i, META_STATS + NAME_SLOTS + zlib.crc32(repr(source).encode()) % NAME_SLOTS] = 1.0
+def meta_features(named: list[tuple[str | None, str | None, int | None]]) -> np.ndarray:
+    """The metadata view: language, source, and both together by hash; the stated length."""
+    out = np.zeros((len(named), META_WIDTH))
+    for i, (lang, source, chars) in enumerate(named):
+        if chars is not None and chars >= 0:
+            out[i, 0] = np.log1p(chars) / 10
+            out[i, 1] = 1.0
+            out[i, 2 + min(OCTAVES - 1, int(chars).bit_length())] = 1.0
+        for k, name in enumerate((lang, source, (lang, source))):
+            out[i, META_STATS + k * NAME_SLOTS + zlib.crc32(repr(name).encode("utf-8", "surrogatepass")) % NAME_SLOTS] = 1.0
     return out
 
 
-def _features(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray]]:
-    """Feature rows of a batch with columns text, lang, source, some at a time."""
+def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray]]:
+    """Feature rows of a batch with columns text, lang, source, n_chars, some at a time."""
     start = 0
-    names = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
+    named = list(zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars"))))
     for part in byte_batches(enumerate(to_bytes(t.as_py()) for t in batch.column("text"))):
-        texts = [t for _, t in part]
         place = slice(start, start + len(part))
-        yield place, np.hstack([text_features(texts), meta_features(names[place], texts)])
+        x = np.hstack([text_features([t for _, t in part]), meta_features(named[place])])
+        yield place, x.astype(np.float32)
         start += len(part)
 
 
@@ -126,19 +135,43 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1.0) -> np.ndarray:
-    """Newton steps on the ridge-penalised logistic loss; the last coefficient is the constant."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    weight = np.ones(len(x)) if weight is None else weight
-    beta = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
+def _with_one(x: np.ndarray) -> np.ndarray:
+    return np.hstack([x, np.ones((len(x), 1))])
+
+
+def loss_terms(x: np.ndarray, y, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Curvature and gradient of the logistic loss; the last coefficient is the constant."""
+    x = _with_one(x)
+    p = sigmoid(x @ beta)
+    return (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x, x.T @ (p - y)
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, beside: tuple | None = None) -> np.ndarray:
+    """Newton steps on the ridge-penalised logistic loss, halved until the loss falls.
+
+    `beside` is (curvature, gradient, beta): a quadratic form around beta that is added to the loss.
+    """
+    start = np.zeros(x.shape[1] + 1) if beside is None else beside[2]
+    more, slope = (0.0, 0.0) if beside is None else beside[:2]
+    penalty = np.full(len(start), ridge)
     penalty[-1] = 1e-6
-    for _ in range(25):
-        p = sigmoid(x @ beta)
-        grade = x.T @ (weight * (p - y)) + penalty * beta
-        curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(penalty)
+
+    def loss(beta: np.ndarray) -> float:
+        margin, away = x @ beta[:-1] + beta[-1], beta - start
+        beside_it = 0.0 if beside is None else slope @ away + 0.5 * away @ more @ away
+        return float(np.logaddexp(0, margin).sum() - (y * margin).sum() + 0.5 * (penalty * beta * beta).sum() + beside_it)
+
+    beta = start.copy()
+    now = loss(beta)
+    for _ in range(50):
+        curve, grade = loss_terms(x, y, beta)
+        curve, grade = curve + np.diag(penalty), grade + penalty * beta
+        if beside is not None:
+            curve, grade = curve + more, grade + slope + more @ (beta - start)
         step = np.linalg.solve(curve, grade)
-        beta -= step
+        while (then := loss(beta - step)) > now + 1e-9 and np.abs(step).max() >= 1e-9:
+            step = step / 2
+        beta, now = beta - step, then
         if np.abs(step).max() < 1e-7:
             break
     return beta
@@ -148,142 +181,176 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,
 class Model:
     centre: np.ndarray
     scale: np.ndarray
-    text: np.ndarray
-    meta: np.ndarray
-    text_platt: np.ndarray
-    meta_platt: np.ndarray
+    betas: tuple[np.ndarray, np.ndarray]
+    platts: tuple[np.ndarray, np.ndarray]
     joint: np.ndarray
     threshold: float = 0.5
 
-    def views(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = (x - self.centre) / self.scale
-        a = x[:, :TEXT_WIDTH] @ self.text[:-1] + self.text[-1]
-        b = x[:, TEXT_WIDTH:] @ self.meta[:-1] + self.meta[-1]
-        return a * self.text_platt[0] + self.text_platt[1], b * self.meta_platt[0] + self.meta_platt[1]
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return (x.astype(np.float64) - self.centre) / self.scale
+
+    def margins(self, x: np.ndarray) -> list[np.ndarray]:
+        """Of standardised rows."""
+        return [x[:, cut] @ beta[:-1] + beta[-1] for cut, beta in zip(VIEWS, self.betas)]
+
+    def calibrated(self, x: np.ndarray) -> list[np.ndarray]:
+        """Calibrated margins of standardised rows."""
+        return [np.clip(m * p[0] + p[1], -12, 12) for m, p in zip(self.margins(x), self.platts)]
 
     def score(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        a, b = self.views(x)
+        a, b = self.calibrated(self.standard(x))
         return sigmoid(self.joint[0] * a + self.joint[1] * b + self.joint[2]), sigmoid(a), sigmoid(b)
 
 
-def co_train(x: np.ndarray, y: np.ndarray, pool: np.ndarray) -> Model:
-    """Fits both views on labelled rows and an unlabelled pool; every fourth labelled row is held out."""
-    if not len(x):
-        zero = np.zeros
-        return Model(zero(WIDTH), np.ones(WIDTH), zero(TEXT_WIDTH + 1), zero(META_WIDTH + 1), np.array([1.0, 0.0]), np.array([1.0, 0.0]), zero(3), threshold=0.5)
-    centre, scale = x.mean(axis=0), x.std(axis=0)
-    scale[scale < 1e-6] = 1.0
-    x, pool = (x - centre) / scale, (pool - centre) / scale
-    held = np.arange(len(x)) % 4 == 3
-    if len(x) < 40:
-        held[:] = False
-    check = held if held.any() else ~held
-    views = (slice(0, TEXT_WIDTH), slice(TEXT_WIDTH, WIDTH))
-    models: list[np.ndarray] = []
-    extra_x = [np.zeros((0, WIDTH)), np.zeros((0, WIDTH))]
-    extra_y = [np.zeros(0), np.zeros(0)]
-    for turn in range(ROUNDS + 1):
-        models = [
-            fit_logistic(np.vstack([x[~held], extra_x[v]])[:, cut], np.concatenate([y[~held], extra_y[v]]), np.concatenate([np.ones((~held).sum()), np.full(len(extra_y[v]), 0.5)]), ridge=5.0)
-            for v, cut in enumerate(views)
-        ]
-        if turn == ROUNDS or not len(pool):
-            break
-        taken = np.zeros(len(pool), dtype=bool)
-        for v, cut in enumerate(views):
-            p = sigmoid(pool[:, cut] @ models[v][:-1] + models[v][-1])
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                best = np.argsort(-sure, kind="stable")[:HAND_OVER]
-                best = best[sure[best] >= SURE]
-                extra_x[1 - v] = np.vstack([extra_x[1 - v], pool[best]])
-                extra_y[1 - v] = np.concatenate([extra_y[1 - v], np.full(len(best), label)])
-                taken[best] = True
-        pool = pool[~taken]
-    margins = [x[check][:, cut] @ m[:-1] + m[-1] for m, cut in zip(models, views)]
-    platt = [fit_logistic(m[:, None], y[check], ridge=0.1) for m in margins]
-    calibrated = np.stack([m * p[0] + p[1] for m, p in zip(margins, platt)], axis=1)
-    joint = fit_logistic(np.clip(calibrated, -12, 12), y[check], ridge=0.1)
-    return Model(centre, scale, models[0], models[1], platt[0], platt[1], joint)
+class Sums:
+    """For each view and pseudo-label: curvature, gradient and number of the rows handed to it."""
+
+    def __init__(self, flat: np.ndarray | None = None) -> None:
+        self.shapes = [(w.stop - w.start + 1) for w in VIEWS for _ in (0, 1)]
+        self.flat = np.zeros(sum(n * n + n + 1 for n in self.shapes)) if flat is None else flat
+
+    def parts(self, view: int, label: int):
+        at = sum(n * n + n + 1 for n in self.shapes[: 2 * view + label])
+        n = self.shapes[2 * view + label]
+        return self.flat[at : at + n * n].reshape(n, n), self.flat[at + n * n : at + n * n + n], self.flat[at + n * n + n :][:1]
+
+    def add(self, model: Model, x: np.ndarray) -> None:
+        """Rows go to a view where the other one is sure of their label."""
+        x = model.standard(x)
+        chances = [sigmoid(m) for m in model.calibrated(x)]
+        for view, cut in enumerate(VIEWS):
+            told = chances[1 - view]
+            for label, some in ((0, told <= 1 - SURE), (1, told >= SURE)):
+                if some.any():
+                    curve, grade, count = self.parts(view, label)
+                    more = loss_terms(x[some][:, cut], float(label), model.betas[view])
+                    curve += more[0]
+                    grade += more[1]
+                    count += some.sum()
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<f4").reshape(-1, WIDTH)
+
+
+def _handed_over(unlabelled: DataFrame, model: Model) -> Sums:
+    """One pass over all unlabelled features; the partitions' sums are added in a tree of FAN-wide nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums()
+        for batch in batches:
+            if batch.num_rows:
+                sums.add(model, _vectors(batch.column(0)))
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([sums.flat.tobytes()], pa.binary())], names=["node", "sums"])
+
+    def together(key, table):
+        total = sum(np.frombuffer(b, dtype=np.float64) for b in table.sort_by("node").column("sums").to_pylist())
+        return pa.table({"node": pa.array([key[0].as_py()], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    nodes = unlabelled.select("x").mapInArrow(run, "node long, sums binary")
+    width = nodes.rdd.getNumPartitions()
+    while width > 1:
+        width = -(-width // FAN)
+        nodes = nodes.withColumn("parent", F.floor(F.col("node") / FAN)).groupBy("parent").applyInArrow(together, "node long, sums binary")
+    row = nodes.first()
+    return Sums(None if row is None else np.frombuffer(row["sums"], dtype=np.float64).copy())
+
+
+def co_train(x: np.ndarray, y: np.ndarray, handed_over) -> Model:
+    """Fits both views on labelled rows and what `handed_over(model)` sums of the unlabelled ones.
+
+    Of five labelled rows, in the order given, three fit the views, one calibrates and one combines.
+    """
+    turn = np.arange(len(x)) % 5
+    own = turn < 3
+    centre, scale = (x[own].mean(axis=0), x[own].std(axis=0)) if own.any() else (np.zeros(WIDTH), np.ones(WIDTH))
+    scale = np.where(scale < 1e-6, 1.0, scale)
+    x = (x - centre) / scale
+    betas = tuple(fit_logistic(x[own][:, cut], y[own], RIDGE) for cut in VIEWS)
+    def calibrate(model: Model) -> Model:
+        return replace(model, platts=tuple(fit_logistic(m[turn == 3][:, None], y[turn == 3], 0.1) for m in model.margins(x)))
+
+    model = calibrate(Model(centre, scale, betas, (np.zeros(2), np.zeros(2)), np.zeros(3)))
+    for _ in range(ROUNDS if (turn == 3).any() else 0):
+        sums = handed_over(model)
+        betas = []
+        for view, cut in enumerate(VIEWS):
+            curve, grade = np.zeros((len(model.betas[view]),) * 2), np.zeros(len(model.betas[view]))
+            for label in (0, 1):
+                more, slope, count = sums.parts(view, label)
+                weight = 0.5 * min(1.0, (y[own] == label).sum() / max(count[0], 1.0))
+                curve, grade = curve + weight * more, grade + weight * slope
+            betas.append(fit_logistic(x[own][:, cut], y[own], RIDGE, (curve, grade, model.betas[view])))
+        model = calibrate(replace(model, betas=tuple(betas)))
+    return replace(model, joint=fit_logistic(np.stack(model.calibrated(x), axis=1)[turn == 4], y[turn == 4], 0.1))
+
+
+KINDS_OF = {"text": "string", "lang": "string", "source": "string", "n_chars": "long"}
 
 
 def _columns(docs: DataFrame) -> list:
-    """text, lang and source as strings; a column that is missing is null throughout."""
+    """The columns that the views read; one that is missing, or cannot be cast, is null."""
     have = set(docs.columns)
-    return [(F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in ("text", "lang", "source")]
+    return [(F.col(c).try_cast(kind) if c in have else F.lit(None).cast(kind)).alias(c) for c, kind in KINDS_OF.items()]
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for place, x in _features(batch):
-            flat = pa.array(x.astype(np.float32).ravel())
-            rows = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, WIDTH), pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("label").slice(place.start, len(x)), rows], names=["label", "x"])
+def features(docs: DataFrame) -> DataFrame:
+    """(doc_id, x) for every row, stored: the features of both views as 4-byte floats."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place, x in _rows_of(batch):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(place.start, len(x)), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "x"])
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fits on documents (doc_id, text, lang, source) and labels (doc_id, quality).
+    return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_columns(docs)).mapInArrow(run, "doc_id long, x binary"))
 
-    Null ids or labels take no part; of a document's repeated labels the lowest counts, of repeated
-    ids one row.  Without labels every document scores one half and is kept.
+
+def fit(known_features: DataFrame, labels: DataFrame, most_labelled: int = LABELLED) -> Model:
+    """Fits on `features` of documents and labels (doc_id, quality).
+
+    Null ids or labels take no part as labels; of a document's repeated labels the lowest counts, of
+    rows that repeat a labelled id the one of the least feature bytes.  Every other row is unlabelled.
+    A view, calibration or combination without any row is zero, so that without labels (with fewer than
+    five not all three have one) every document scores one half and is kept.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
-    known = known.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.least(F.min("label"), F.lit(1)).alias("label"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    chosen = known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    others = ids.join(known, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).withColumn("label", F.lit(-1))
-    sample = F.broadcast(chosen.unionByName(others))  # at most 2 * SAMPLE rows
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_columns(docs)).join(sample, "doc_id")
-    got = rows.select("doc_id", "label", "text", "lang", "source")
-    kind = "doc_id long, label int, x array<float>"
+    known = known.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.greatest(F.least(F.min("label"), F.lit(1)), F.lit(0)).alias("label"))
+    ids = known_features.select("doc_id").where("doc_id is not null").distinct()
+    chosen = stored(known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labelled))
+    sample = F.broadcast(chosen)  # at most `most_labelled` rows of two numbers
+    rows = known_features.join(sample, "doc_id").groupBy("doc_id").agg(F.any_value("label").alias("label"), F.min("x").alias("x"))
+    table = rows.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()  # bounded as the sample is
+    x = _vectors(table.column("x").combine_chunks()) if table.num_rows else np.zeros((0, WIDTH), dtype=np.float32)
+    y = table.column("label").to_numpy().astype(np.float64)
+    unlabelled = known_features.join(sample, "doc_id", "left_anti")
+    return co_train(x.astype(np.float64), y, lambda model: _handed_over(unlabelled, model))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            start = 0
-            for out in _vectors([batch]):
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, out.num_rows), *out.columns], names=["doc_id", "label", "x"])
-                start += out.num_rows
-
-    table = got.mapInArrow(run, kind).toArrow()
-    if not table.num_rows:
-        return co_train(np.zeros((0, WIDTH)), np.zeros(0), np.zeros((0, WIDTH)))
-    ids = table.column("doc_id").to_numpy()
-    x = table.column("x").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, WIDTH)
-    label = table.column("label").to_numpy()
-    order = np.lexsort((*x.T[:3], ids))
-    order = order[np.append(True, ids[order][1:] != ids[order][:-1])]
-    order = order[np.argsort(((ids[order].astype(U64) * U64(0x9E3779B97F4A7C15)) >> U64(20)) % U64(1 << 40), kind="stable")]
-    x, label = x[order], label[order]
-    return co_train(x[label >= 0], label[label >= 0].astype(np.float64), x[label < 0])
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, quality_score, text_score, meta_score, kept) for every row."""
-    kind = "doc_id long, quality_score double, text_score double, meta_score double, kept boolean"
+
+SCORES = "doc_id long, quality_score double, text_score double, meta_score double, kept boolean"
+
+
+def score(known_features: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, quality_score, text_score, meta_score, kept) for every row of `features`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for place, x in _features(batch):
-                total, text, meta = model.score(x.astype(np.float32).astype(np.float64))
-                ids = batch.column("doc_id").slice(place.start, len(x))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(total), pa.array(text), pa.array(meta), pa.array(total >= model.threshold)], names=[f.split()[0] for f in kind.split(", ")])
+            if batch.num_rows:
+                total, text, meta = model.score(_vectors(batch.column("x")))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(total), pa.array(text), pa.array(meta), pa.array(total >= model.threshold)], names=[f.split()[0] for f in SCORES.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_columns(docs)).mapInArrow(run, kind)
+    return known_features.mapInArrow(run, SCORES)
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents, all columns, that the classifier does not reject."""
+    """The documents, all columns, that the classifier does not reject; one narrow pass."""
+    packed = docs.select(*_columns(docs), F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("rest"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.ones(batch.num_rows, dtype=bool)
-            view = pa.RecordBatch.from_arrays([_named(batch, c) for c in ("text", "lang", "source")], names=["text", "lang", "source"])
-            for place, x in _features(view):
-                keep[place] = model.score(x.astype(np.float32).astype(np.float64))[0] >= model.threshold
-            yield batch.filter(pa.array(keep))
-
-    return docs.mapInArrow(run, docs.schema)
-
+            for place, x in _rows_of(batch):
+                keep[place] = model.score(x)[0] >= model.threshold
+            yield batch.select(["text", "rest"]).filter(pa.array(keep))
 
-def _named(batch: pa.RecordBatch, name: str) -> pa.Array:
-    place = batch.schema.get_field_index(name)
-    return batch.column(place).cast(pa.string()) if place >= 0 else pa.nulls(batch.num_rows, pa.string())
+    kept = packed.mapInArrow(run, packed.select("text", "rest").schema)
+    return kept.select(*[(F.col("text") if c == "text" else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])

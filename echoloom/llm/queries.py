@@ -50,8 +50,8 @@ def op8_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return cotraining.score(docs, cotraining.fit(docs, table(spark, sf_dir, "labels")))
+    known = cotraining.features(table(spark, sf_dir, "documents"))
+    return cotraining.score(known, cotraining.fit(known, table(spark, sf_dir, "labels")))
 
 
 def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,8 +23,9 @@ def test_stages_and_run(spark, small):
             kept = spark.createDataFrame(kept.collect(), docs.schema)
         tables.append(kept)
     rows = [[(r.doc_id, r.text) for r in t.collect()] for t in tables[:5]]
-    model = cotraining.fit(docs, spark.read.parquet(f"{small}/labels.parquet"))
-    good = {r.doc_id for r in cotraining.score(docs, model).where("kept").collect()}
+    known = cotraining.features(docs)
+    model = cotraining.fit(known, spark.read.parquet(f"{small}/labels.parquet"))
+    good = {r.doc_id for r in cotraining.score(known, model).where("kept").collect()}
     assert sorted(d for d, _ in rows[1]) == sorted(good)
     assert sorted(d for d, _ in rows[2]) == sorted(d for d, _, _, k in brute_rows(rows[1], 5) if k)
     first, before = {}, dict(rows[2])
