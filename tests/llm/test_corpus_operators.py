@@ -318,15 +318,119 @@ def test_warc_round_trip_and_links(spark, tmp_path):
     assert records.count() == 3 and {(r.record_type, r.refers_to) for r in derived} == {("metadata", source.get("WARC-Record-ID")), ("conversion", source.get("WARC-Record-ID"))}
 
 
-def test_warc_of_nulls(spark):
-    df = spark.createDataFrame([(None, None, None), (1, "u\r\nX: y", "")], "page_id long, url string, html string")
+def test_warc_of_nulls_repeats_and_clashes(spark):
+    long_page = "<p>" + "word " * 400_000
+    df = spark.createDataFrame([(None, None, None, "c"), (1, "u\r\nX: y", "", "c"), (2, "v", "z", "c"), (2, "v", "z", "c"), (3, "w", long_page, "c")], "page_id long, url string, html string, block string")
     out = warc.derivatives_of_pages(df).collect()
-    assert len(out) == 4 and {r.content_length for r in out if r.record_type == "conversion"} == {0}
+    assert len(out) == 10 and sorted(r.content_length for r in out if r.record_type == "conversion") == [0, 0, 1, 1, len(long_page.strip()) - 3]
+    assert len({r.record_id for r in out}) == 8
     record = warc.response_of_page(1, "u\r\nX: y", "z")
     assert next(warc.read_records(warc.write_record(record))).get("X") is None
     assert warc.derivatives_of_pages(df.where("page_id = 5")).collect() == []
 
 
+def response(head, body):
+    block = b"HTTP/1.1 200 OK\r\n" + head + b"\r\n\r\n" + body
+    return warc.Record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:1>"), ("WARC-Concurrent-To", "a"), ("WARC-Concurrent-To", "b")], block)
+
+
+def test_payloads_are_unpacked_and_headers_kept():
+    import json
+    import zlib
+
+    page = "<title>Été</title><p>naïve €</p>"
+    chunked = b"".join(b"%x\r\n%s\r\n" % (len(x), x) for x in (page.encode()[:9], page.encode()[9:])) + b"0\r\n\r\n"
+    cases = [
+        (b"Content-Type: text/html; charset=ISO-8859-1", page.encode("cp1252")), (b"Content-Type: text/html", page.encode("cp1252")), (b"Content-Type: text/html", page.encode()),
+        (b"A: b", b'<meta charset="windows-1252">' + page.encode("cp1252")), (b"A: b", b"\xff\xfe" + page.encode("utf-16-le")), (b"Transfer-Encoding: chunked", chunked),
+        (b"Content-Encoding: gzip", gzip.compress(page.encode())), (b"Content-Encoding: deflate", zlib.compress(page.encode())), (b"Content-Encoding: gzip", page.encode()),
+        (b"Content-Type: text/html; charset=nonsense", page.encode()),
+    ]
+    for head, body in cases:
+        metadata, conversion, _ = warc.derive(response(head, body))
+        assert conversion.block.decode() == "naïve €", (head, body)
+        envelope = json.loads(metadata.block)["Envelope"]
+        found = envelope["Payload-Metadata"]["HTTP-Response-Metadata"]
+        assert found["HTML-Metadata"]["Head"]["Title"] == "Été" and found["Entity-Digest"] == warc.digest(body)
+        assert envelope["WARC-Header-Metadata"]["WARC-Concurrent-To"] == ["a", "b"]
+    metadata = warc.derive(response(b"Set-Cookie: a=1\r\nSet-Cookie: b=2\r\nServer: s", b""))[0]
+    assert json.loads(metadata.block)["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]["Headers"] == {"Set-Cookie": ["a=1", "b=2"], "Server": "s"}
+
+
+def test_broken_records_are_passed_over_and_counted(spark, tmp_path):
+    good = [warc.response_of_page(i, f"http://a.example.com/{i}", f"<p>page {i}" * 50) for i in range(5)]
+    plain = [warc.write_record(r) for r in good]
+    cases = {
+        "junk.warc": (plain[0] + b"junk\r\nmore junk\r\n" + plain[1] + plain[2], [0, 1, 2], 1),
+        "cut.warc": (plain[0] + plain[1][:-90] + plain[2] + plain[3], [0, 2, 3], 1),
+        "end.warc": (plain[0] + plain[1][:-90], [0], 1),
+        "length.warc": (plain[0] + plain[1].replace(b"Content-Length: ", b"Content-Length: x", 1) + plain[2], [0, 2], 1),
+        "whole.warc": (b"".join(plain), [0, 1, 2, 3, 4], 0),
+        "whole.warc.gz": (b"".join(map(gzip.compress, plain)), [0, 1, 2, 3, 4], 0),
+        "one.warc.gz": (gzip.compress(b"".join(plain)), [0, 1, 2, 3, 4], 0),
+        "hole.warc.gz": (gzip.compress(plain[0]) + b"\x00" * 9 + gzip.compress(plain[1]), [0, 1], None),
+    }
+    damaged = bytearray(gzip.compress(plain[1]))
+    damaged[20:60] = b"\xff" * 40
+    cases["bad.warc.gz"] = (gzip.compress(plain[0]) + bytes(damaged) + gzip.compress(plain[2]), [0, 2], None)
+    for name, (data, expected, broken) in cases.items():
+        records = warc.Records(data)
+        got = [r.get("WARC-Target-URI") for r in records]
+        assert got == [good[i].get("WARC-Target-URI") for i in expected], name
+        assert records.broken >= 1 if broken is None else records.broken == broken, (name, records.broken)
+        (tmp_path / name).write_bytes(data)
+    rows = warc.read_warc(spark, str(tmp_path)).collect()
+    assert sum(r.record_type == "response" for r in rows) == sum(len(e) for _, e, _ in cases.values())
+    assert {r.path.rsplit("/", 1)[1] for r in rows if r.record_type == "unreadable"} == {n for n, (_, _, b) in cases.items() if b != 0}
+    assert {r.block for r in rows if r.record_type == "response"} == {r.block for r in good}
+
+
+def test_derivatives_query_equals_a_second_reading(spark, small):
+    """Identifiers, digests, lengths, links and titles by the standard library's own parser."""
+    import base64
+    import json
+    import uuid
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.links, self.title, self.inside = 0, "", False
+
+        def handle_starttag(self, tag, attrs):
+            self.inside = tag == "title"
+            wanted = {"a": "href", "area": "href", "link": "href", "img": "src", "script": "src", "iframe": "src", "form": "action"}
+            self.links += tag in wanted and any(k in ("href", "src", "action") for k, _ in attrs)
+
+        def handle_endtag(self, tag):
+            self.inside = False
+
+        def handle_data(self, data):
+            self.title += data if self.inside else ""
+
+    def sha1(data):
+        return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+    out = {(r.page_id, r.record_type): r for r in QUERIES["op7_warc_derivatives"](spark, small).collect()}
+    pages = spark.read.parquet(f"{small}/pages.parquet").collect()
+    assert len(out) == 2 * len(pages)
+    for p in pages:
+        reader = Reader()
+        reader.feed(p.html)
+        payload = p.html.encode()
+        own = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(31).join((str(p.page_id), p.url, sha1(payload))))}>"
+        for kind in ("metadata", "conversion"):
+            r = out[p.page_id, kind]
+            assert r.refers_to == own and r.target_uri == p.url and r.source_payload_digest == sha1(payload) and r.n_links == reader.links
+            assert r.record_id == f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, own + chr(31) + kind)}>"
+            assert r.content_length == len(r.block.encode()) and r.block_digest == sha1(r.block.encode())
+        head = json.loads(out[p.page_id, "metadata"].block)["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]["HTML-Metadata"]["Head"]
+        assert head["Title"] == " ".join(reader.title.split())
+        body = re.search(r"<article>(.*?)(</article>|$)", p.html, re.S)[1]
+        for words in re.findall(r">([^<]+)<", body):
+            assert " ".join(html.unescape(words).split()) in " ".join(out[p.page_id, "conversion"].block.split())
+
+
 # -- quality ---------------------------------------------------------------------------------------
 
 
