@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from echoloom.llm.url_reputation import DOMAIN, SUFFIX
+
 LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 #: The words of a text, as op6 defines them.
 WORDS = "list_filter(regexp_split_to_array(" + LOWERED.format("coalesce(text, '')") + ", '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
@@ -75,10 +77,11 @@ WITH p AS (
          regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
 i AS (SELECT *, try_cast(nullif(regexp_extract(path, '^/[a-z]{{2}}/([0-9]{{1,18}})', 1), '') AS BIGINT) AS item FROM p),
 l AS (SELECT doc_id AS item, max(CASE WHEN quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
-hosts AS (
+bare AS (
   SELECT host, count(l.bad)::DOUBLE AS n, coalesce(sum(l.bad), 0)::DOUBLE AS bad,
-         array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain FROM i LEFT JOIN l USING (item) GROUP BY host),
-domains AS (SELECT domain, sum(n) AS n, sum(bad) AS bad, list_extract(string_split(domain, '.'), -1) AS suffix FROM hosts GROUP BY domain),
+         any_value(regexp_replace(regexp_replace(host, '^.*@', ''), '(:[0-9]*)?\.*$', '')) AS bare FROM i LEFT JOIN l USING (item) GROUP BY host),
+hosts AS (SELECT host, n, bad, CASE WHEN regexp_matches(bare, '^[0-9.]+$|^\[') THEN bare ELSE regexp_extract(bare, '{DOMAIN}', 0) END AS domain FROM bare),
+domains AS (SELECT domain, sum(n) AS n, sum(bad) AS bad, CASE WHEN regexp_matches(domain, '^[0-9.]+$|^\[') THEN '' ELSE regexp_extract(domain, '{SUFFIX}', 1) END AS suffix FROM hosts GROUP BY domain),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
 whole AS (SELECT (coalesce(sum(bad), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) AS m FROM suffixes),
 s1 AS (SELECT s.*, m FROM suffixes s, whole), {_strength("k1", "s1")},

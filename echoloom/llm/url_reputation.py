@@ -7,9 +7,11 @@ below it differ.  A page is blocked if the lower bound of its host's posterior i
 that a few bad pages on an unknown host do not block it.  Hosts without outcomes fall back on the
 prior of the level above.
 
-Only DataFrame expressions; the joins are on hosts, aggregated before they are shuffled.  Rules
-(a host, a path prefix, a verdict) come as a short list and are applied as one array expression, so
-that they need no join.
+Only DataFrame expressions.  Hosts are counted once and stored; the levels are fitted on the counts.
+Pages meet their host's bound by a join on the host; hosts with HOT_PAGES or more, of which a table has
+at most its rows divided by HOT_PAGES, are broadcast instead, so that no host's pages go to one task.
+Rules (a host, a path prefix, a verdict) come as a short list and are applied as one array expression,
+so that they need no join.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from echoloom.llm.common import stored
+
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: A host is blocked if its rate of bad pages is above LIMIT at the one-sided bound of Z deviations.
@@ -63,12 +67,32 @@ def longest_rule(rules: Sequence[Rule], host: Column, path: Column) -> Column:
     return F.array_max(F.transform(fits, lambda r: F.struct(r["size"].alias("size"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+#: Second labels under which the registries of countries let names be registered.
+SECOND_LABELS = ("ac", "co", "com", "edu", "go", "gob", "gouv", "gov", "gv", "ltd", "me", "mil", "ne", "net", "nom", "or", "org", "plc", "sch")
+#: The last label of a country has two letters.
+_SUFFIX = r"(?:(?:" + "|".join(SECOND_LABELS) + r")\.[a-z]{2}|[^.]+)"
+DOMAIN = rf"([^.]+\.)?{_SUFFIX}$"
+SUFFIX = rf"(?:^|\.)({_SUFFIX})$"
+#: Hosts of so many pages are broadcast.
+HOT_PAGES = 1 << 20
+
+
+def bare(host: Column) -> Column:
+    """The host without user, port and closing dots, for the levels above it."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"(:[0-9]*)?\.*$", "")
+
+
+def _numeric(host: Column) -> Column:
+    return host.rlike(r"^[0-9.]+$|^\[")
 
 
 def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+    """The registered domain: the public suffix and one label more; an address is its own."""
+    return F.when(_numeric(bare(host)), bare(host)).otherwise(F.regexp_extract(bare(host), DOMAIN, 0))
+
+
+def suffix_of(domain: Column) -> Column:
+    return F.when(_numeric(domain), F.lit("")).otherwise(F.regexp_extract(domain, SUFFIX, 1))
 
 
 def _strength(rows: DataFrame, rate: str) -> Column:
@@ -86,34 +110,36 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
 
     Each level's posterior mean is the next one's prior.  Without any outcome the rate is one half.
     """
-    domains = outcomes.groupBy(domain_of(F.col("host")).alias("domain")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy(suffix_of(F.col("domain")).alias("suffix")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    whole = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1.0)).alias("m"))
-
-    def shrunk(level: DataFrame, above: DataFrame, key: str | None) -> DataFrame:
-        joined = level.crossJoin(F.broadcast(above)) if key is None else level.join(above, key)
-        strength = joined.agg(_strength(joined, "m").alias("k"))  # one row
-        joined = joined.crossJoin(F.broadcast(strength))
-        return joined.withColumn("mean", (F.col("bad") + F.col("k") * F.col("m")) / (F.col("n") + F.col("k")))
-
-    suffix = shrunk(suffixes, whole, None).select("suffix", F.col("mean").alias("m"))
-    domain = shrunk(domains.withColumn("suffix", suffix_of(F.col("domain"))), suffix, "suffix").select("domain", F.col("mean").alias("m"))
-    host = shrunk(outcomes.withColumn("domain", domain_of(F.col("host"))), domain, "domain")
-    weight = F.col("n") + F.col("k")
-    spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (weight + 1))
+    count = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
+    hosts = outcomes.withColumn("domain", domain_of(F.col("host")))
+    domains = stored(hosts.groupBy("domain").agg(*count).withColumn("suffix", suffix_of(F.col("domain"))))
+    suffixes = stored(domains.groupBy("suffix").agg(*count))
+    whole = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1.0)).alias("m")).first()["m"]
+
+    def shrunk(level: DataFrame, named: str) -> DataFrame:
+        """(n, bad, m) to the posterior mean; the strength of the level is one number."""
+        k = level.agg(_strength(level, "m").alias("k")).first()["k"]
+        mean = (F.col("bad") + F.lit(k) * F.col("m")) / (F.col("n") + F.lit(k))
+        return level.withColumns({named: mean, "k": F.lit(k)})
+
+    suffix = shrunk(suffixes.withColumn("m", F.lit(whole)), "mean").select("suffix", F.col("mean").alias("m"))
+    domain = stored(shrunk(domains.join(suffix, "suffix"), "mean").select("domain", F.col("mean").alias("m")))
+    host = shrunk(hosts.join(domain, "domain"), "mean")
+    spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.col("k") + 1))
     return host.select("host", F.col("m").alias("prior"), "mean", (F.col("mean") - Z * spread).alias("bound"))
 
 
 def count_outcomes(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Hosts of all `pages` (host, item) with the counts of their labelled outcomes (item, bad).
+    """(host, pages, n, bad) of all `pages` (host, item): how many, how many labelled, how many bad.
 
-    Of an item's repeated outcomes the worst counts.  Pages that show the same item each count.
+    Of an item's repeated outcomes (item, bad) the worst counts.  Pages that show the same item, and
+    repeated rows, each count.
     """
     labelled = outcomes.where("item is not null and bad is not null").groupBy("item").agg(F.max("bad").alias("bad"))
     items = pages.groupBy("host", "item").agg(F.count("*").alias("n"))
     joined = items.join(labelled, "item", "left")
     return joined.groupBy("host").agg(
-        F.sum(F.when(F.col("bad").isNotNull(), F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(F.col("bad") == 1, F.col("n")).otherwise(0)).alias("bad")
+        F.sum("n").alias("pages"), F.sum(F.when(F.col("bad").isNotNull(), F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(F.col("bad") == 1, F.col("n")).otherwise(0)).alias("bad")
     )
 
 
@@ -121,10 +147,15 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], item: Co
     """(page_id, host, path, rule, verdict, bound) for every row of (page_id, url).
 
     `item` gives the labelled item that a page shows, as an expression on `path`.  A null url, or one
-    without "://", has an empty host and path; the empty host is judged like any other.
+    without "://", has an empty host and path; the empty host is judged like any other.  Repeated rows
+    each get a row; an empty table has none; other columns are not looked at.
     """
     seen = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).withColumn("item", item)
-    reputation = host_reputation(count_outcomes(seen, outcomes)).select("host", "bound")
-    ruled = seen.withColumn("fit", longest_rule(rules, F.col("host"), F.col("path"))).join(reputation, "host", "left")
+    counts = stored(count_outcomes(seen, outcomes))
+    known = stored(host_reputation(counts).select("host", "bound").join(counts.select("host", "pages"), "host"))
+    hot = F.broadcast(known.where(F.col("pages") >= HOT_PAGES).select("host", "bound"))  # at most rows / HOT_PAGES
+    cold = known.where(F.col("pages") < HOT_PAGES).select("host", "bound")
+    ruled = seen.withColumn("fit", longest_rule(rules, F.col("host"), F.col("path")))
+    judged = ruled.join(hot, "host").unionByName(ruled.join(hot, "host", "left_anti").join(cold, "host", "left"))
     by_host = F.when(F.col("bound") > LIMIT, "block").otherwise("allow")
-    return ruled.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), by_host).alias("verdict"), "bound")
+    return judged.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), by_host).alias("verdict"), "bound")

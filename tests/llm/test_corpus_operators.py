@@ -516,3 +516,22 @@ def test_reputation_shrinks(spark):
     seen = df.select("page_id", url_reputation.host_of(F.col("url")).alias("host"), F.col("page_id").alias("item"))
     bound = {r.host: r.bound for r in url_reputation.host_reputation(url_reputation.count_outcomes(seen, outcomes)).collect()}
     assert bound["spam.example.com"] > 0.5 > bound["new.example.com"] and bound["good1.example.com"] < 0.3 and bound["once.other.org"] < 0.5
+
+
+def test_registered_domains_and_suffixes(spark):
+    cases = {"www.shop.example.com": ("example.com", "com"), "a.b.co.uk": ("b.co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.com.br:8080": ("x.com.br", "com.br"),
+             "u@h.example.org.": ("example.org", "org"), "10.1.2.3": ("10.1.2.3", ""), "localhost": ("localhost", "localhost"), "": ("", ""), "com.example": ("com.example", "example"), "xco.uk": ("xco.uk", "uk"), "a.me.com": ("me.com", "com")}
+    df = spark.createDataFrame([(h,) for h in cases], "host string").withColumn("domain", url_reputation.domain_of(F.col("host")))
+    got = {r.host: (r.domain, r.suffix) for r in df.withColumn("suffix", url_reputation.suffix_of(F.col("domain"))).collect()}
+    assert got == cases
+
+
+@pytest.mark.parametrize("hot", [1, 3, 1 << 20])
+def test_hot_hosts_and_repeated_rows(spark, monkeypatch, hot):
+    monkeypatch.setattr(url_reputation, "HOT_PAGES", hot)
+    rows = [(i, f"http://bad.example.com/{i}") for i in range(30)] + [(40, "http://ok.example.org/1")] * 3 + [(50, None)] + [(100 + i, f"http://g{i % 9}.example.net/{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string").withColumn("bound", F.lit("clash")).withColumn("pages", F.lit(1))
+    outcomes = spark.createDataFrame([(i, 1) for i in range(30)] + [(40, 0), (41, 0)] + [(100 + i, 0) for i in range(200)], "item long, bad int")
+    out = url_reputation.judge(df, outcomes, (), F.col("page_id")).collect()
+    assert sorted((r.page_id, r.verdict) for r in out) == sorted([(i, "block") for i in range(30)] + [(40, "allow")] * 3 + [(50, "allow")] + [(100 + i, "allow") for i in range(200)])
+    assert url_reputation.judge(df.where("page_id < 0"), outcomes, (), F.col("page_id")).collect() == []
