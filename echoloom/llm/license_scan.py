@@ -3,7 +3,9 @@
 Where a text's words are dense in a template's words, the stretch is aligned with the template:
 words that are unique in both are anchors, the longest increasing subsequence of them is kept, and
 the gaps between anchors are aligned the same way; a gap without unique words is aligned at its
-equal ends.  Coverage is the share of the template's words that are aligned.
+equal ends.  Coverage is the share of the template's words that are aligned.  The words of a licence's
+own name that its template has (its version, say), and those listed as needed, must be among them:
+notices that differ in those words alone are different licences.
 
 A stretch is aligned whenever SPAN times the template's number of words hold as many words of its
 vocabulary as coverage asks for; an alignment of that coverage over such a span cannot be missed.
@@ -13,6 +15,7 @@ by name.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections.abc import Iterator, Mapping
 
@@ -28,8 +31,38 @@ COVERAGE = 80
 SPAN = 1.5
 FOUND = "doc_id long, license string, start_byte long, end_byte long, n_matched long, n_template long, coverage double"
 
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+    "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+    "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+)
+_BSD_TWO = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution."
+)
+_BSD_THIRD = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission."
+)
+_BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES"
+
+
+def _gnu(kind: str, thing: str, version: str) -> str:
+    return (
+        f"This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by "
+        f"the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+    )
+
+
+#: The terms of the Creative Commons licences, short and in words.
+COMMONS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+           "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
 #: The notices that are looked for.
 TEMPLATES = {
+    "AGPL-3.0-notice": _gnu("Affero ", "program", "3"),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
@@ -37,28 +70,44 @@ TEMPLATES = {
         "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
         "See the License for the specific language governing permissions and limitations under the License."
     ),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
-        "and/or other materials provided with the distribution."
-    ),
-    "CC-BY-4.0": "This work is licensed under the Creative Commons Attribution 4.0 International License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "This work is licensed under CC BY-SA 4.0.",
+    "BSD": "Released under the BSD License.",
+    "BSD-2-Clause": f"{_BSD_TWO} {_BSD_END}",
+    "BSD-3-Clause": f"{_BSD_TWO} {_BSD_THIRD} {_BSD_END}",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-notice": _gnu("", "program", "2"),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    "GPL-3.0-notice": _gnu("", "program", "3"),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies."
     ),
+    "LGPL-2.1-notice": _gnu("Lesser ", "library", "2.1"),
+    "LGPL-3.0-notice": _gnu("Lesser ", "library", "3"),
     "MIT": "Released under the MIT License.",
-    "MIT-notice": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
-        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
-        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+    "MIT-notice": _MIT_GRANT,
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+        "You can obtain one at https://mozilla.org/MPL/2.0/."
     ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute "
+        "this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from "
+        "the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+        "redistribute it freely, subject to the following restrictions:"
+    ),
+    **{f"CC-{short}-4.0": f"Licensed under CC {short} 4.0." for short in COMMONS},
+    **{f"CC-{short}-4.0-notice": f"This work is licensed under the Creative Commons {words} 4.0 International License." for short, words in COMMONS.items()},
+}
+#: Words that tell one licence from another although its name does not hold them; the words of a name are needed as well.
+NEEDED = {
+    "AGPL-3.0-notice": "Affero 3", "LGPL-2.1-notice": "Lesser", "LGPL-3.0-notice": "Lesser", "BSL-1.0": "Boost", "BSD-3-Clause": "Neither endorse", "EPL-2.0": "Eclipse", "MPL-2.0": "Mozilla",
+    "CC0-1.0": "waived rights", **{f"CC-{short}-4.0-notice": f"Creative Commons {words}" for short, words in COMMONS.items()},
 }
 #: ASCII punctuation and controls separate words here.
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() or c == 10 else 32 for c in range(256))
@@ -122,12 +171,18 @@ def _once(words: list, start: int, end: int) -> dict:
     return {w: i for w, i in seen.items() if i >= 0}
 
 
+def needed_words(name: str, needed: Mapping[str, str] = NEEDED) -> str:
+    return re.sub("[^0-9A-Za-z]+", " ", f"{name} {needed.get(name, '')}").replace(" notice", "")
+
+
 class Scanner:
     def __init__(self, templates: Mapping[str, str], percent: int = COVERAGE) -> None:
         self.percent = percent
         self.names = sorted(templates)
         hashes, first, _, _ = words_of([to_bytes(templates[n]) for n in self.names])
         self.words = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
+        marks, first, _, _ = words_of([to_bytes(needed_words(n)) for n in self.names])
+        self.needed = {n: set(marks[a:b].tolist()) & set(w.tolist()) for n, w, a, b in zip(self.names, self.words, first[:-1], first[1:])}
 
     def scan(self, texts: list[bytes]) -> list[tuple[int, str, int, int, int, int]]:
         """(text, license, first byte, end byte, matched, words of the template), settled."""
@@ -179,13 +234,13 @@ class Scanner:
                 continue
             stop = min(high, at + width)
             pairs = patience(hashes[at:stop].tolist(), words)
-            if len(pairs) >= least:
+            if len(pairs) >= least and self.needed[name] <= {words[j] for _, j in pairs}:
                 # A later start may do better as long as it is inside this find.
                 best, place = pairs, at
                 for later in range(at + 1, min(high, at + len(words) // 2 + 1)):
                     if int(hashes[later]) in inside:
                         more = patience(hashes[later : min(high, later + width)].tolist(), words)
-                        if len(more) > len(best):
+                        if len(more) > len(best) and self.needed[name] <= {words[j] for _, j in more}:
                             best, place = more, later
                 first, last = place + best[0][0], place + best[-1][0] + 1
                 yield (doc, name, first, last, len(best), len(words))
@@ -212,6 +267,7 @@ def _scan(templates: Mapping[str, str], percent: int):
 def scan_documents(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, percent: int = COVERAGE) -> DataFrame:
     """A row for each license find in (doc_id, text): where, how many template words, coverage.
 
-    One narrow pass.  Null and empty texts have no finds; repeated rows each get theirs.
+    One narrow pass.  Null and empty texts have no finds; a null id stays null; repeated rows each get
+    theirs; other columns are not looked at.  `templates` may hold any texts, whole licences included.
     """
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan(dict(templates), percent), FOUND)

@@ -286,6 +286,57 @@ def test_licenses_are_found_whole_and_changed(spark):
     assert docs[0][1].encode()[hit.start_byte : hit.end_byte].decode() == "RELEASED UNDER THE MIT LICENSE" and hit.coverage == 1.0
 
 
+def test_each_notice_is_named_rightly():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    for name, text in license_scan.TEMPLATES.items():
+        found = scanner.scan([("before it " + text + " and after it").encode()])
+        assert [f[1] for f in found] == [name], (name, found)
+    for text in ("Released under the Foo License.", "Licensed under CC BX 4.0.", "This work is licensed under the GNU General Public License, version 4.", license_scan._gnu("Affero ", "program", "4")):
+        assert scanner.scan([text.encode()]) == []
+
+
+def brute_licenses(text, percent=license_scan.COVERAGE):
+    """By longest common subsequence over every window: the licences that no better one lies across."""
+
+    def words(x):
+        return re.sub(rb"[^0-9a-z\x80-\xff]+", b" ", x.encode().lower()).split()
+
+    def aligned(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+        return row[-1]
+
+    own, finds = words(text), []
+    for name, template in license_scan.TEMPLATES.items():
+        there = words(template)
+        width = max(len(there), int(np.ceil(len(there) * license_scan.SPAN)))
+        needed = set(words(license_scan.needed_words(name))) & set(there)
+        best = max(((aligned(own[i : i + width], there), -i) for i in range(len(own)) if own[i] in there and needed <= set(own[i : i + width])), default=(0, 0))
+        if 100 * best[0] >= percent * len(there):
+            finds.append((best[0], best[0] / len(there), name))
+    return max(finds)[2] if finds else None
+
+
+def test_scan_equals_brute_force(spark):
+    rng = random.Random(12)
+    docs = []
+    for i, name in enumerate(["MIT-notice", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-notice", "LGPL-3.0-notice", "MPL-2.0", "CC0-1.0", "Zlib", "ISC", "EPL-2.0", "Unlicense", "Apache-2.0-notice"]):
+        own = license_scan.TEMPLATES[name].split()
+        for share in (0.0, 0.05, 0.4):
+            words = [w if rng.random() >= share else "changed" for w in own]
+            docs.append((len(docs), " ".join([*(f"w{k}" for k in range(30)), *words, *(f"v{k}" for k in range(30))])))
+    table = spark.createDataFrame(docs + [docs[0], (None, docs[3][1]), (900, ("long word " * 300_000) + license_scan.TEMPLATES["MIT"])], "doc_id long, text string")
+    out = license_scan.scan_documents(table).collect()
+    found = {r.doc_id: r.license for r in out if r.doc_id is not None and r.doc_id < 900}
+    expected = {i: name for i, text in docs if (name := brute_licenses(text))}
+    assert len(expected) >= 20 and found == expected
+    assert sum(r.doc_id == 0 for r in out) == 2 and sum(r.doc_id is None for r in out) == 1 and [r.license for r in out if r.doc_id == 900] == ["MIT"]
+    assert license_scan.scan_documents(table.where("doc_id = -1")).collect() == []
+
+
 def test_every_planted_license_line_is_found(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").collect()
     planted = {r.doc_id for r in docs if re.search(r"Released under the MIT License|under the GNU General Public License, version|Licensed under the Apache License, Version|Licensed under CC BY-NC", r.text)}
