@@ -9,9 +9,13 @@
    chunk in turn, which makes a join on equal keys.  All pairs under that distance are found; at a
    similarity of exactly 0.8 a pair misses every key with a probability of 0.181**12 (1e-9).
 3. Classes with a common key form a family (stars around each key's smallest class, never all
-   pairs).  A family's members meet in tasks of bounded bytes: small families whole, large ones in
-   blocks by set size, of which only blocks of near sizes are held against each other.
-4. In a task, pairs that agree in enough symbols are confirmed on the full sets, and links within
+   pairs).  Small families meet whole in one task.
+4. A family of more than BLOCK_BYTES is covered first: its members, in blocks, are held against
+   HUBS of them, for ROUNDS rounds with new hubs from what is not covered yet, which is linear in the
+   family.  Members that links join by then need not meet again.  The rest meets everything of a near
+   set size, and what different hubs cover meets each other, block by block: for a group of near
+   copies, of which hubs cover nearly all, that is a few tasks a block and not one for every two.
+5. In a task, pairs that agree in enough symbols are confirmed on the full sets, and links within
    what is joined already are skipped, so that a task returns a spanning forest.
 
 Signatures only choose what is confirmed; every link rests on the full sets.
@@ -23,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -40,7 +44,11 @@ BITS = 16
 #: a mean of 9.6, and exceeds this with a probability under 1e-9.
 MOST_DISTANCE = 30
 #: Text bytes that a block of a family may hold.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
+#: Members that the others of a large family are held against, and how often such are chosen.
+HUBS, ROUNDS = 12, 2
+#: Parts that a join on families deals a hot one into.
+SALTS = 32
 _MULTIPLY = splitmix(np.arange(1, SYMBOLS + 1, dtype=U64)) | U64(1)
 _MIX = U64(0xBF58476D1CE4E5B9)
 
@@ -68,7 +76,7 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _describe(size: int):
-    """(doc_id, text) to (doc_id, n_shingles, bytes, class, signature)."""
+    """(doc_id, text) to (doc_id, n_shingles, bytes, class, signature, digest)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -84,8 +92,9 @@ def _describe(size: int):
                         pa.array([len(t) for _, t in part], pa.int64()),
                         pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
                         pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                        pa.array([hashlib.md5(t).digest() for _, t in part], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "bytes", "class", "signature"],
+                    names=["doc_id", "n_shingles", "bytes", "class", "signature", "digest"],
                 )
 
     return run
@@ -130,23 +139,27 @@ def link_members(members: list[tuple[bytes, int, np.ndarray, np.ndarray]], perce
     """The spanning forest of the links among (class, side, set, signature).
 
     Side 0 and side 1 are the two blocks of a task, held against each other only; a block by itself
-    has side 2 throughout.
+    has side 2 throughout.  With one side missing there is nothing to hold against.
     """
     members = sorted(members, key=lambda m: len(m[2]))
     sizes = np.array([len(m[2]) for m in members])
     sides = np.array([m[1] for m in members])
     signs = np.stack([m[3] for m in members])
     forest, links = Forest(), []
-    for i in range(len(members) - 1):
-        # Only larger sets that the smaller one can still be near to.
-        end = int(np.searchsorted(sizes, sizes[i] * 100 // percent, side="right"))
-        other = signs[i + 1 : end]
-        near = np.flatnonzero((other != signs[i]).sum(axis=1) <= MOST_DISTANCE) + i + 1
-        for j in near.tolist():
-            if sides[i] + sides[j] == 1 or sides[i] == sides[j] == 2:
-                if forest.find(i) != forest.find(j) and confirmed(members[i][2], members[j][2], percent):
-                    forest.union(i, j)
-                    links.append((members[i][0], members[j][0]))
+    few, many = (np.flatnonzero(sides == k) for k in ((2, 2) if (sides == 2).any() else (0, 1)))
+    if len(few) > len(many):
+        few, many = many, few
+    alone = few is many or (sides == 2).any()
+    others = signs[many]
+    for at, i in enumerate(few.tolist()):
+        # Only sets that this one can be near to; in a block by itself, only those after it.
+        low = at + 1 if alone else int(np.searchsorted(sizes[many], -(-sizes[i] * percent // 100), side="left"))
+        high = int(np.searchsorted(sizes[many], sizes[i] * 100 // percent, side="right"))
+        near = np.flatnonzero((others[low:high] != signs[i]).sum(axis=1) <= MOST_DISTANCE) + low
+        for j in many[near].tolist():
+            if forest.find(i) != forest.find(j) and confirmed(members[i][2], members[j][2], percent):
+                forest.union(i, j)
+                links.append((members[i][0], members[j][0]))
     return links
 
 
@@ -180,42 +193,88 @@ def _confirm(size: int, percent: int):
     return run
 
 
-def _tasks(members: DataFrame) -> DataFrame:
-    """(class, family, n_shingles, bytes, ...) with the tasks and sides in which a member takes part.
+def _salted(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """rows join few on `keys`, of which one value may hold most rows: both sides are dealt to SALTS parts."""
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("class", F.lit(1)), F.lit(SALTS)).cast("int"))
+    few = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(few, [*keys, "_salt"], how).drop("_salt")
 
-    A family of up to BLOCK_BYTES is one task.  A larger one is cut by size class (sets of sizes
-    within a factor of 1.25, the most by which linked sets differ) and then by hash into blocks; a
-    task is one block, or two blocks of the same or of neighbouring size classes.
+
+def _blocks(size) -> F.Column:
+    return F.greatest(F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+
+
+def _held(task, side) -> list:
+    return [task.alias("task"), "family", side.cast("int").alias("side"), "class", "signature", "text"]
+
+
+#: Text bytes that a partition of tasks gets on average.
+PARTITION_BYTES = 16 << 20
+
+
+def _links(rows: DataFrame, weight: int, size: int, percent: int) -> DataFrame:
+    """The links that tasks (task, family, side, class, signature, text) of `weight` text bytes confirm."""
+    rows = rows.repartition(partitions(rows.sparkSession, weight, PARTITION_BYTES), "task", "family")
+    return rows.sortWithinPartitions("task", "family").mapInArrow(_confirm(size, percent), "a binary, b binary")
+
+
+def _choose_hubs(rest: DataFrame, turn: int) -> DataFrame:
+    """(family, class) of HUBS members a family: half by a hash, half by how central they are.
+
+    A family's most frequent value of each signature symbol is that of the text that its near copies
+    come from; the members that agree with the most of these are the nearest to it.
+    """
+    symbols = F.transform(F.sequence(F.lit(0), F.lit(SYMBOLS - 1)), lambda k: F.substring(F.hex("signature"), 4 * k + F.lit(1), F.lit(4)))
+    rows = rest.select("family", "class", symbols.alias("symbols"))
+    counted = rows.select("family", F.posexplode("symbols").alias("place", "symbol")).groupBy("family", "place", "symbol").agg(F.count("*").alias("n"))
+    usual = counted.groupBy("family", "place").agg(F.max(F.struct("n", "symbol")).alias("top"))
+    usual = usual.groupBy("family").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "top"))), lambda x: x["top"]["symbol"]).alias("usual"))  # SYMBOLS entries
+    same = F.aggregate(F.zip_with("symbols", "usual", lambda a, b: (a == b).cast("int")), F.lit(0), lambda x, y: x + y)
+    rows = _salted(rows, usual, ["family"]).select("family", "class", same.alias("same"))
+    central = Window.partitionBy("family").orderBy(F.desc("same"), "class")
+    drawn = Window.partitionBy("family").orderBy(F.xxhash64("class", F.lit(turn)), "class")
+    first = [rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= HUBS // 2).select("family", "class") for order in (central, drawn)]
+    return first[0].union(first[1]).distinct()
+
+
+def _cover(large: DataFrame, covered: DataFrame | None, turn: int, size: int, percent: int) -> DataFrame:
+    """Links of what is not covered of the large families with hubs chosen from it."""
+    rest = large if covered is None else large.join(covered.select(F.col("node").alias("class")), "class", "left_anti")
+    hubs = stored(_choose_hubs(rest, turn).join(rest.drop("family"), "class").select("family", "class", "signature", "text"))
+    blocks = rest.groupBy("family").agg(_blocks(F.sum("bytes")).alias("blocks"))
+    members = _salted(rest, blocks, ["family"]).withColumn("task", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    sent = hubs.join(blocks, "family").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # Hubs are members as well (side 0), so that they meet each other; a member never meets itself.
+    sides = members.select(*_held(F.col("task"), F.lit(0))).unionByName(sent.select(*_held(F.col("task"), F.lit(1))))
+    return _links(sides, _weight(large), size, percent)
+
+
+def _weight(rows: DataFrame) -> int:
+    return int(rows.agg(F.sum("bytes")).first()[0] or 0)
+
+
+def _rest(large: DataFrame, covered: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links of the pairs that covering leaves open: rows go to a task for each unit that theirs meets.
+
+    A unit is a block of a family's members of one size class (sets of sizes within a factor of 1.25,
+    the most by which linked sets differ) and of one covered group, or of what no hub covers.
     """
-    # Large families are few: at most the members' bytes divided by BLOCK_BYTES.
-    weight = members.groupBy("family").agg(F.sum("bytes").alias("family_bytes")).where(F.col("family_bytes") > BLOCK_BYTES)
-    members = members.join(F.broadcast(weight), "family", "left").withColumn("large", F.col("family_bytes").isNotNull())
-    members = members.withColumn("size_class", F.floor(F.log("n_shingles") / F.log(F.lit(1.25))).cast("int"))
-    small = members.where("not large").select("*", F.hash("family").alias("task"), F.lit(2).alias("side")).drop("family_bytes", "large", "size_class")
-    large = members.where("large")
-    blocks = large.groupBy("family", "size_class").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
-    above = blocks.select("family", (F.col("size_class") - 1).alias("size_class"), F.col("blocks").alias("blocks_above"))
-    below = blocks.select("family", (F.col("size_class") + 1).alias("size_class"), F.col("blocks").alias("blocks_below"))
-    keys = ["family", "size_class"]
-    large = large.join(F.broadcast(blocks.join(above, keys, "left").join(below, keys, "left")), keys)  # a row a size class
-    large = large.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-
-    def pair(c1, b1, c2, b2, side):
-        return F.struct(F.hash("family", c1, b1, c2, b2).alias("task"), F.lit(side).alias("side"))
-
-    def count(n):
-        return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
-
-    c, b = F.col("size_class"), F.col("block")
-    alone = F.array(pair(c, b, c, b, 2))
-    later = F.transform(F.filter(count(F.col("blocks")), lambda x: x > b), lambda x: pair(c, b, c, x, 0))
-    earlier = F.transform(F.filter(count(F.col("blocks")), lambda x: x < b), lambda x: pair(c, x, c, b, 1))
-    up = F.transform(count(F.coalesce("blocks_above", F.lit(0))), lambda x: pair(c, b, c + 1, x, 0))
-    down = F.transform(count(F.coalesce("blocks_below", F.lit(0))), lambda x: pair(c - 1, x, c, b, 1))
-    large = large.withColumn("at", F.explode(F.concat(alone, later, earlier, up, down)))
-    # The task's hash also takes the family's place: a task of a large family stands by itself.
-    large = large.select(*[F.col(x) for x in small.columns if x not in ("task", "side")], F.col("at.task"), F.col("at.side"))
-    return small.unionByName(large)
+    marked = large.join(covered, large["class"] == covered.node, "left").drop("node")
+    marked = marked.withColumns({"loose": F.col("root").isNull(), "group": F.coalesce("root", F.lit("").cast("binary")), "size_class": F.floor(F.log("n_shingles") / F.log(F.lit(1.25))).cast("int")})
+    keys = ["family", "size_class", "group", "loose"]
+    counts = marked.groupBy(*keys).agg(_blocks(F.sum("bytes")).alias("blocks"))
+    units = stored(counts.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks").withColumn("unit", F.xxhash64(*keys, "block")))
+    other = units.select("family", *[F.col(c).alias(f"o_{c}") for c in ("size_class", "group", "loose", "unit")])
+    # Each pair of units once: the size class above, or the same one and the larger number, or itself if loose.
+    above = other.withColumn("size_class", F.col("o_size_class") - 1).unionByName(other.withColumn("size_class", F.col("o_size_class")))
+    pairs = units.join(above, ["family", "size_class"]).where("o_size_class > size_class or o_unit > unit or (o_unit = unit and loose)")
+    pairs = pairs.where(F.col("loose") | F.col("o_loose") | (F.col("group") != F.col("o_group")))
+    pairs = stored(pairs.select("unit", "o_unit", F.xxhash64("unit", "o_unit").alias("task")))
+    left = pairs.select("unit", "task", F.when(F.col("unit") == F.col("o_unit"), 2).otherwise(0).alias("side"))
+    right = pairs.where("unit <> o_unit").select(F.col("o_unit").alias("unit"), "task", F.lit(1).alias("side"))
+    placed = _salted(marked, counts, keys).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    sides = placed.withColumn("unit", F.xxhash64(*keys, "block")).join(left.unionByName(right), "unit").select(*_held(F.col("task"), F.col("side")))
+    return _links(sides, 2 * BLOCK_BYTES * pairs.count(), size, percent)
 
 
 #: The least similarity for which the size classes, MOST_DISTANCE and the chunks are made.
@@ -232,13 +291,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """
     if percent < LEAST_PERCENT:
         raise ValueError(f"percent must be at least {LEAST_PERCENT}: size classes, distance bound and chunks hold from there on")
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    kind = "doc_id long, n_shingles long, bytes long, class binary, signature binary"
+    kind = "doc_id long, n_shingles long, bytes long, class binary, signature binary, digest binary"
     known = stored(docs.mapInArrow(_describe(size), kind))
+    # One text stands for a class: that of its least (doc_id, digest).
     classes = known.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("least"), F.any_value("signature").alias("signature"), F.any_value("n_shingles").alias("n_shingles"),
-        F.max("bytes").alias("bytes"), F.min(F.coalesce("doc_id", F.lit(-(1 << 62)))).alias("holder"),
+        F.max("bytes").alias("bytes"), F.min(F.struct("doc_id", "digest")).alias("holder"),
     )
     classes = stored(classes)
 
@@ -249,18 +308,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     local = posted.where("key is null").select(F.col("class").alias("a"), F.col("other").alias("b"))
     families = smallest_reachable(stars.union(local))
 
-    members = families.join(classes, families.node == classes["class"]).select("class", F.col("root").alias("family"), "signature", "n_shingles", "bytes")
-    tasks = stored(_tasks(members))
-    # One text stands for a class: of its row with the smallest doc_id.
-    wanted = families.join(classes, families.node == classes["class"]).select("class", F.col("least").alias("wanted"))
-    texts = known.where("class is not null").join(wanted, "class").where("doc_id <=> wanted").select("doc_id", "class").distinct()
-    size_bytes = int(tasks.agg(F.sum("bytes")).first()[0] or 0)
-    sourced = docs.join(texts, docs.doc_id.eqNullSafe(texts.doc_id)).select("class", "text")
-    sourced = sourced.mapInArrow(_of_class(size), "class binary, text string")
-    n = partitions(spark, size_bytes, 16 << 20)
-    rows = tasks.join(sourced.groupBy("class").agg(F.any_value("text").alias("text")), "class")
-    rows = rows.select("task", "family", "side", "class", "signature", "text").repartition(n, "task", "family").sortWithinPartitions("task", "family")
-    links = checkpointed(rows.mapInArrow(_confirm(size, percent), "a binary, b binary"))
+    members = families.join(classes, families.node == classes["class"]).select("class", F.col("root").alias("family"), "signature", "n_shingles", "bytes", "holder")
+    sought = members.withColumn("at", F.struct(F.coalesce(F.col("holder.doc_id"), F.lit(0)).alias("id"), F.col("holder.doc_id").isNull().alias("none"), F.col("holder.digest").alias("digest"))).drop("holder")
+    here = docs.select(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest")).alias("at"), "text")
+    rows = stored(sought.join(here, "at").drop("at").dropDuplicates(["class"]))
+    weight = rows.groupBy("family").agg(F.sum("bytes").alias("family_bytes")).where(F.col("family_bytes") > BLOCK_BYTES)
+    marked = _salted(rows, weight, ["family"], "left")
+    small = marked.where("family_bytes is null").select(*_held(F.hash("family"), F.lit(2)))
+    links = checkpointed(_links(small, _weight(rows), size, percent))
+    large = stored(marked.where("family_bytes is not null").drop("family_bytes"))
+    if large.limit(1).count():
+        found, covered = None, None
+        for turn in range(ROUNDS):
+            more = checkpointed(_cover(large, covered, turn, size, percent))
+            found = more if found is None else found.union(more)
+            covered = smallest_reachable(found)
+        links = links.union(found).union(checkpointed(_rest(large, covered, size, percent)))
 
     roots = smallest_reachable(links)
     labels = classes.join(roots, classes["class"] == roots.node, "left").select("class", F.coalesce("root", "class").alias("root"), "least")
@@ -272,22 +335,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def _of_class(size: int):
-    """Keeps the rows (class, text) whose text is of that class: a doc_id may stand on several rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
-        for batch in batches:
-            good = []
-            for part in byte_batches(enumerate(map(lambda t: to_bytes(t.as_py()), batch.column(1)))):
-                sets = shingle_sets([t for _, t in part], size)
-                good += [hashlib.md5(s.tobytes()).digest() for s in sets]
-            yield batch.filter(pa.array([a == b for a, b in zip(good, batch.column(0).to_pylist())], pa.bool_()))
-
-    return run
-
-
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The documents without near-duplicates: of every component the row with the smallest doc_id.
 

@@ -86,6 +86,36 @@ def test_large_families_are_cut_into_blocks(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found.collect()), key=str) == brute_components(docs, 4)
 
 
+def test_most_of_a_large_family_is_covered_by_hubs(spark, monkeypatch):
+    """The tasks after covering hold few of the rows, and every row as often as what is open asks for."""
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 4000)
+    rng = random.Random(10)
+    base = [rng.choice(WORDS) + str(i) for i in range(80)]
+    docs = []
+    for i in range(300):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            words[rng.randrange(80)] = f"new{i}"
+        docs.append((i, " ".join(words)))
+    docs += [(1000 + i, " ".join(base[:40] + [f"other{i}x{k}" for k in range(40)])) for i in range(3)]
+    seen = []
+    whole = near_dup._links
+    monkeypatch.setattr(near_dup, "_links", lambda rows, *rest: seen.append(rows.groupBy("task", "family").count().agg({"count": "sum", "*": "count"}).first()) or whole(rows, *rest))
+    found = near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 4, 80)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found.collect()), key=str) == brute_components(docs, 4)
+    covering = sum(r["sum(count)"] or 0 for r in seen[1:-1])
+    assert covering <= 4 * len(docs) and (seen[-1]["sum(count)"] or 0) <= 3 * len(docs)
+
+
+def test_clashing_columns_and_long_texts(spark):
+    rng = random.Random(13)
+    words = [rng.choice(WORDS) + str(i % 9000) for i in range(150_000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:-900])), (3, " ".join(words[60_000:])), (4, "a b c d e f"), (4, "a b c d e f"), (5, None)]
+    table = spark.createDataFrame([(i, t, "x", "y", 1, "z") for i, t in docs], "doc_id long, text string, class string, family string, n_shingles int, signature string")
+    found = near_dup.near_duplicates(table, 4, 80)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found.collect()), key=str) == brute_components(docs, 4)
+
+
 def test_one_of_each_group_stays(spark):
     docs = documents(5)
     rows = [(i, t, "x%s" % k, k) for k, (i, t) in enumerate(docs)]
