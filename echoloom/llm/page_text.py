@@ -295,7 +295,8 @@ def extract(pages: DataFrame) -> DataFrame:
     key = F.unhex(F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in ("page_id", "url", "html")])))
     rows = pages.select("page_id", "url", F.col("html").cast("string"), key.alias("key"))
     described = rows.select("key", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
-    shared = shared_lines(described.mapInArrow(_describe, "key binary, host string, path string, lines binary"))
+    # Stored, since the distributed sort reads its input twice: pages are parsed here and in _extract only.
+    shared = shared_lines(stored(described.mapInArrow(_describe, "key binary, host string, path string, lines binary")))
     shared = shared.groupBy("key").agg(F.max("shared").alias("shared"))
     joined = rows.join(shared, "key", "left").select("page_id", "url", "html", "shared")
     kind = f"page_id {dict(pages.dtypes)['page_id']}, url string, text string, n_chars long"
