@@ -245,7 +245,7 @@ ORACLES = {
     "small_dimension_grid": """SELECT r.r_name, p.o_orderpriority, count(x.o_orderkey) AS n FROM region r CROSS JOIN (SELECT DISTINCT o_orderpriority FROM orders) p LEFT JOIN (
       SELECT n_regionkey, o_orderpriority, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) x ON x.n_regionkey = r.r_regionkey AND x.o_orderpriority = p.o_orderpriority GROUP BY 1, 2""",
     "asof_order": """WITH f AS (SELECT o_custkey AS cust, o_orderdate::DATE AS day, max(o_orderkey) AS last_key FROM orders GROUP BY 1, 2),
-      p AS (SELECT o_custkey AS cust, o_orderdate::DATE + 30 AS "at", o_orderkey AS probe_key FROM orders WHERE o_orderkey % 50 = 0) SELECT p.cust, p."at", p.probe_key, f.day, f.last_key FROM p ASOF LEFT JOIN f ON p.cust = f.cust AND p."at" >= f.day""",
+      p AS (SELECT o_custkey AS cust, o_orderdate::DATE + 30 AS "at", o_orderkey AS probe_key FROM orders) SELECT p.cust, p."at", p.probe_key, f.day, f.last_key FROM p ASOF LEFT JOIN f ON p.cust = f.cust AND p."at" >= f.day""",
     "latest_known": "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01' QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1",
     "week_interval": "SELECT event_id, date_trunc('week', ts)::DATE AS week, count(*) OVER (PARTITION BY user_id, date_trunc('week', ts)) AS week_events FROM events",
     "checked_join": "SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
@@ -268,7 +268,7 @@ ORACLES = {
     "calendar_spine": """SELECT d::DATE AS day, count(event_id) AS n FROM (SELECT unnest(generate_series((SELECT min(ts)::DATE FROM events), (SELECT max(ts)::DATE FROM events), INTERVAL 1 DAY)) AS d) LEFT JOIN events ON ts::DATE = d::DATE GROUP BY 1""",
     "scalar_functions": """SELECT o_orderkey, trim(regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '_', 'g'), '_') AS priority_token,
       'order_' || substr(sha256(o_orderkey::VARCHAR || chr(31) || o_orderstatus || chr(31) || o_orderdate::DATE::VARCHAR), 1, 24) AS stable, md5(o_orderkey::VARCHAR) AS record, date_trunc('week', o_orderdate)::DATE AS monday,
-      week(o_orderdate)::INT AS iso_week, (DATE '1999-01-01' - o_orderdate::DATE)::INT AS age, round(2 * 6371.0088::DOUBLE * asin(sqrt(pow(sin(radians(o_custkey % 90) / 2), 2))), 6) AS haversine_km FROM orders WHERE o_orderkey % 7 = 0""",
+      week(o_orderdate)::INT AS iso_week, (DATE '1999-01-01' - o_orderdate::DATE)::INT AS age, round(2 * 6371.0088::DOUBLE * asin(sqrt(pow(sin(radians(o_custkey % 90) / 2), 2))), 6) AS haversine_km FROM orders""",
     "timeline": "SELECT date_trunc('week', ts)::DATE AS timeline_bucket, count(DISTINCT user_id) AS users, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END)::BIGINT AS errors, count(*) AS events FROM events GROUP BY 1",
     "frame": """SELECT user_id, event_id, event_type, count(*) OVER () AS total FROM (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'error' THEN 0 WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3 ELSE 4 END, ts DESC, event_id DESC) = 1)""",
