@@ -212,10 +212,14 @@ def test_streams_equal_batch(spark, small, tmp_path):
     batch = monitoring._signals(spark, small).where("crop_season = 'A'").select("field_id", "crop_name", "crop_season", "crop_instance_id", "observation_date", "pressure_observed", "hazard_family", "risk_rank", "response_class", "new_response_evidence", "stage_family")
     for k, (a, b) in enumerate((("2024-01-01", "2024-01-07"), ("2024-01-08", "2024-01-15"))):
         batch.where(f"observation_date between '{a}' and '{b}'").coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+    batch.where("observation_date = '2024-01-03'").coalesce(1).write.parquet(str(tmp_path / "in/9"))  # comes again, and late
     source = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
     query = live.story_stream(source).writeStream.format("memory").queryName("stories").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination(120)
-    got = sorted((r.event_id, str(r.observation_date), r.event_state) for r in spark.table("stories").collect())
+    rows = spark.table("stories").collect()
+    late = sum(r.reportable_day_count for r in rows if r.event_state == "LATE_DAYS")
+    assert late == batch.where("observation_date = '2024-01-03'").count()
+    got = sorted((r.event_id, str(r.observation_date), r.event_state) for r in rows if r.event_state != "LATE_DAYS")
     expected = stories.daily_stories(batch.withColumn("crop_instance_start_date", F.col("observation_date")))
     assert got == sorted((r.event_id, str(r.observation_date), r.event_state) for r in expected.where("event_state <> 'CLOSED_SEASON_BOUNDARY'").collect()) and got
 
