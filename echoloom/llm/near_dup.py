@@ -47,6 +47,8 @@ MOST_DISTANCE = 30
 BLOCK_BYTES = 1 << 20
 #: Members that the others of a large family are held against, and how often such are chosen.
 HUBS, ROUNDS = 12, 2
+#: Members of a family that tell its usual signature.
+DRAWN = 32
 #: Parts that a join on families deals a hot one into.
 SALTS = 32
 _MULTIPLY = splitmix(np.arange(1, SYMBOLS + 1, dtype=U64)) | U64(1)
@@ -222,11 +224,14 @@ def _choose_hubs(rest: DataFrame, turn: int) -> DataFrame:
     """(family, class) of HUBS members a family: half by a hash, half by how central they are.
 
     A family's most frequent value of each signature symbol is that of the text that its near copies
-    come from; the members that agree with the most of these are the nearest to it.
+    come from; the members that agree with the most of these are the nearest to it.  The frequent values
+    are told from DRAWN members, by hash: they only say which members are tried as hubs.
     """
     symbols = F.transform(F.sequence(F.lit(0), F.lit(SYMBOLS - 1)), lambda k: F.substring(F.hex("signature"), 4 * k + F.lit(1), F.lit(4)))
     rows = rest.select("family", "class", symbols.alias("symbols"))
-    counted = rows.select("family", F.posexplode("symbols").alias("place", "symbol")).groupBy("family", "place", "symbol").agg(F.count("*").alias("n"))
+    drawn = Window.partitionBy("family").orderBy(F.xxhash64("class", F.lit(-1 - turn)), "class")
+    some = rows.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= DRAWN)
+    counted = some.select("family", F.posexplode("symbols").alias("place", "symbol")).groupBy("family", "place", "symbol").agg(F.count("*").alias("n"))
     usual = counted.groupBy("family", "place").agg(F.max(F.struct("n", "symbol")).alias("top"))
     usual = usual.groupBy("family").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "top"))), lambda x: x["top"]["symbol"]).alias("usual"))  # SYMBOLS entries
     same = F.aggregate(F.zip_with("symbols", "usual", lambda a, b: (a == b).cast("int")), F.lit(0), lambda x, y: x + y)
