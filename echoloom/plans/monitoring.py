@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from echoloom.durable import stored
 from echoloom.functions import normalize as nz
 from echoloom.functions.statistics import benjamini_hochberg
 from echoloom.operators import cells, prototypes, signals, stories, temporal, tracking
@@ -31,10 +31,9 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parts(spark: SparkSession, sf_dir: str):
-    """Field weeks and lanes; several branches of a plan read them, so they are kept (spilling, lineage intact)."""
-    rows = _signals(spark, sf_dir)
-    context = cells.field_weeks(rows, obs.places(_events(spark, sf_dir))).persist(StorageLevel.MEMORY_AND_DISK)
-    return context, cells.week_lanes(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    """Field weeks and lanes, written once: several branches of a plan read them."""
+    rows = stored(_signals(spark, sf_dir))
+    return stored(cells.field_weeks(rows, obs.places(_events(spark, sf_dir)))), stored(cells.week_lanes(rows))
 
 
 def canonical_sample(spark, sf_dir):
@@ -72,63 +71,90 @@ def stage_baseline(spark, sf_dir):
     return cells.stage_baseline(context, lanes, THROUGH, GRID).withColumns(rounded)
 
 
-def _activity(spark, sf_dir):
-    context, lanes = _parts(spark, sf_dir)
-    return cells.expected_activity(context, lanes, cells.stage_baseline(context, lanes, THROUGH, GRID), GRID)
+def _activity(context, lanes):
+    return cells.expected_activity(context, lanes, stored(cells.stage_baseline(context, lanes, THROUGH, GRID)), GRID)
 
 
 def exposure_cells(spark, sf_dir):
     rounded = {c: F.round(c, 6) for c in ("expected_active_count", "expected_variance", "z_score")}
     kept = ["timeline_bucket", "hazard_family", "cell_x", "cell_y", "monitored_count", "evaluable_count", "monitored_field_count", "evaluable_field_count", "active_count",
             "active_field_count", "severe_field_count", "fresh_response_field_count", "missing_baseline_stage_count", *rounded]
-    return _activity(spark, sf_dir).withColumns(rounded).select(*kept)
+    return _activity(*_parts(spark, sf_dir)).withColumns(rounded).select(*kept)
 
 
 def significant_cells(spark, sf_dir):
-    return cells.significant_cells(_activity(spark, sf_dir), GRID)
+    return cells.significant_cells(_activity(*_parts(spark, sf_dir)), GRID)
+
+
+def _placed_lanes(context, lanes):
+    """Canonical lanes with their cell, stage and crop; an episode is a field, instance and hazard."""
+    places = cells.on_grid(context, GRID).select("timeline_bucket", "crop_instance_id", "cell_x", "cell_y", F.col("stage_bucket").alias("stage_family"), "crop_name")
+    rows = lanes.where("canonical").join(places, ["timeline_bucket", "crop_instance_id"])
+    return rows.withColumn("episode_id", nz.stable_id("episode", F.col("field_id"), F.col("crop_instance_id"), F.col("hazard_family")))
 
 
 def frontier_rows(spark, sf_dir):
     """Fields within one cell of a significant cell."""
     context, lanes = _parts(spark, sf_dir)
-    found = significant_cells(spark, sf_dir).where("is_significant").select("timeline_bucket", "hazard_family", "cell_x", "cell_y")
-    places = cells.on_grid(context, GRID).select("timeline_bucket", "crop_instance_id", "cell_x", "cell_y")
-    rows = lanes.where("canonical").join(places, ["timeline_bucket", "crop_instance_id"]).select("timeline_bucket", "hazard_family", "cell_x", "cell_y", "field_id", "event_state")
+    found = cells.significant_cells(_activity(context, lanes), GRID).where("is_significant").select("timeline_bucket", "hazard_family", "cell_x", "cell_y")
+    rows = _placed_lanes(context, lanes).select("timeline_bucket", "hazard_family", "cell_x", "cell_y", "field_id", "event_state")
     return temporal.near_cells(rows, found, ["timeline_bucket", "hazard_family"], "cell_x", "cell_y", 1)
 
 
-def _components(spark, sf_dir):
+def _tracked(spark, sf_dir):
+    """Components with their sets, members, and scored links, each written once."""
     context, lanes = _parts(spark, sf_dir)
-    labelled = tracking.weekly_components(significant_cells(spark, sf_dir).where("is_significant"))
-    comps = tracking.component_summary(labelled)
-    places = cells.on_grid(context, GRID).select("timeline_bucket", "crop_instance_id", F.concat_ws(":", F.lit("g"), F.col("cell_x").cast("string"), F.col("cell_y").cast("string")).alias("cell"))
-    rows = lanes.where("canonical").join(places, ["timeline_bucket", "crop_instance_id"]).select("timeline_bucket", "hazard_family", "cell", "field_id")
-    members = comps.select("timeline_bucket", "hazard_family", "component_id", F.explode("cells").alias("cell")).join(rows, ["timeline_bucket", "hazard_family", "cell"])
-    fields = members.groupBy("component_id").agg(F.sort_array(F.collect_set("field_id")).alias("fields"))
-    return comps.join(fields, "component_id").persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = tracking.weekly_components(cells.significant_cells(_activity(context, lanes), GRID).where("is_significant"))
+    comps = stored(tracking.component_summary(labelled))
+    members = stored(tracking.component_members(comps, _placed_lanes(context, lanes)))
+    comps = stored(tracking.member_sets(comps, members))
+    return comps, members, stored(tracking.score_links(comps))
 
 
 def weekly_components(spark, sf_dir):
-    comps = _components(spark, sf_dir)
+    comps, _, _ = _tracked(spark, sf_dir)
     return comps.select("timeline_bucket", "hazard_family", "component_id", "cell_count", F.to_json("cells").alias("cell_ids_json"), F.size("fields").alias("field_count"))
 
 
+def component_members(spark, sf_dir):
+    _, members, _ = _tracked(spark, sf_dir)
+    return members.select("timeline_bucket", "hazard_family", "component_id", "field_id", "event_state", "membership_role", "away")
+
+
 def link_scores(spark, sf_dir):
-    return tracking.score_links(_components(spark, sf_dir))
+    return _tracked(spark, sf_dir)[2]
+
+
+def _tracks(spark, sf_dir):
+    comps, members, scores = _tracked(spark, sf_dir)
+    return comps, members, stored(tracking.track(comps, scores))
 
 
 def primary_links(spark, sf_dir):
-    return tracking.primary_links(link_scores(spark, sf_dir))
+    return tracking.assignments(_tracks(spark, sf_dir)[2]).where("assignment_kind = 'continued'")
 
 
 def exposure_lineage(spark, sf_dir):
-    scores = link_scores(spark, sf_dir)
-    return tracking.lineage(scores, tracking.primary_links(scores))
+    return tracking.lineage(_tracks(spark, sf_dir)[2])
 
 
 def exposures(spark, sf_dir):
-    comps = _components(spark, sf_dir)
-    return tracking.exposures(comps, tracking.primary_links(tracking.score_links(comps)))
+    return tracking.assignments(_tracks(spark, sf_dir)[2]).select("component_id", "exposure_id", "assignment_kind")
+
+
+def exposure_weeks(spark, sf_dir):
+    _, members, tracked = _tracks(spark, sf_dir)
+    return tracking.exposure_weeks(members, tracking.assignments(tracked))
+
+
+def crop_incidents(spark, sf_dir):
+    _, members, tracked = _tracks(spark, sf_dir)
+    return tracking.crop_incidents(members, tracking.assignments(tracked))
+
+
+def crop_lineage(spark, sf_dir):
+    _, members, tracked = _tracks(spark, sf_dir)
+    return tracking.incident_lineage(tracking.lineage(tracked), tracking.crop_incidents(members, tracking.assignments(tracked)))
 
 
 def daily_stories(spark, sf_dir):
@@ -167,6 +193,10 @@ def incident_lifecycles(spark, sf_dir):
     return tracking.incident_lifecycles(rows)
 
 
+def incident_windows(spark, sf_dir):
+    return tracking.lifecycle_windows(incident_lifecycles(spark, sf_dir))
+
+
 def incident_crosswalk(spark, sf_dir):
     rows = _signals(spark, sf_dir).where("risk_rank >= 2").withColumn("timeline_bucket", nz.week_of(F.col("observation_date")))
     old = rows.select(F.concat("hazard_family", F.lit("/"), "crop_name").alias("incident_id"), "timeline_bucket", "field_id")
@@ -237,8 +267,8 @@ def append_audit(spark, sf_dir):
 
 _NAMES = [
     "canonical_sample", "daily_pressure", "causal_signals", "crop_instance_summary", "field_weeks", "week_lanes", "stage_baseline", "exposure_cells", "significant_cells", "frontier_rows",
-    "weekly_components", "link_scores", "primary_links", "exposure_lineage", "exposures", "daily_stories", "event_windows", "weekly_snapshots", "map_frames", "onset_labels",
-    "incident_lifecycles", "incident_crosswalk", "footprint_trail", "asof_stage", "fdr_control", "robust_scaling", "prototype_assignment", "prototype_overlap", "label_agreement",
+    "weekly_components", "component_members", "link_scores", "primary_links", "exposure_lineage", "exposures", "exposure_weeks", "crop_incidents", "crop_lineage", "daily_stories", "event_windows", "weekly_snapshots", "map_frames", "onset_labels",
+    "incident_lifecycles", "incident_windows", "incident_crosswalk", "footprint_trail", "asof_stage", "fdr_control", "robust_scaling", "prototype_assignment", "prototype_overlap", "label_agreement",
     "temporal_split", "append_audit",
 ]
 QUERIES = {name: globals()[name] for name in _NAMES}
@@ -359,9 +389,6 @@ ORACLES = {
     "stage_baseline": f"""WITH {WEEKS} SELECT hazard_family, iso_week, stage_bucket, affected_count, evaluable_count, training_week_count, round(global_probability, 9) AS global_probability,
       round(expected_probability, 9) AS expected_probability FROM base""",
     "exposure_cells": f"""WITH {GRIDDED} SELECT * REPLACE (round(expected_active_count, 6) AS expected_active_count, round(expected_variance, 6) AS expected_variance, round(z_score, 6) AS z_score) FROM act""",
-    "frontier_rows": f"""WITH {GRIDDED}, rows AS (SELECT l.timeline_bucket, hazard_family, cell_x, cell_y, l.field_id, event_state FROM lanes l JOIN loc USING (timeline_bucket, crop_instance_id) WHERE canonical)
-      SELECT * FROM rows r WHERE EXISTS (SELECT 1 FROM act a WHERE a.active_count >= 2 AND a.timeline_bucket = r.timeline_bucket AND a.hazard_family = r.hazard_family
-        AND abs(a.cell_x - r.cell_x) <= 1 AND abs(a.cell_y - r.cell_y) <= 1)""",
     "incident_crosswalk": f"""WITH {RAW}, r AS (SELECT *, date_trunc('week', observation_date)::DATE AS w FROM daily WHERE risk_rank >= 2),
       o AS (SELECT DISTINCT hazard_family || '/' || crop_name AS old_incident_id, w, field_id FROM r), n AS (SELECT DISTINCT hazard_family || '#' || risk_band AS new_incident_id, w, field_id FROM r),
       oc AS (SELECT old_incident_id, count(*) AS old_count FROM o GROUP BY 1), nc AS (SELECT new_incident_id, count(*) AS new_count FROM n GROUP BY 1),

@@ -127,16 +127,101 @@ def test_tails_and_false_discovery(spark):
     assert q[3] == pytest.approx(got[3] * 5) and q[1] == pytest.approx(got[1] * 5 / 2) and q[4] == 1.0
 
 
-def test_components_and_links(spark):
+def components_of(spark, rows):
+    """(week, name, cells, fields) as components with their sets; an episode is a field."""
+    data = []
+    for week, name, places, fields in rows:
+        xy = [tuple(map(int, c.split(":"))) for c in places]
+        centre = [5 * (sum(p[k] for p in xy) / len(xy) + 0.5) for k in (0, 1)]
+        data.append((date(2025, 1, 6) + timedelta(days=7 * week), "heat", f"component_{name}", [f"g:{c}" for c in sorted(places)], *centre, sorted(fields), sorted(fields), {"vegetative": len(fields)}))
+    return spark.createDataFrame(data, "timeline_bucket date, hazard_family string, component_id string, cells array<string>, center_x_km double, center_y_km double, fields array<string>, episodes array<string>, stages map<string,bigint>")
+
+
+def test_components_of_cells(spark):
     rows = [(date(2025, 1, 6), "heat", x, y) for x, y in ((0, 0), (1, 1), (5, 5))] + [(date(2025, 1, 13), "heat", x, y) for x, y in ((1, 1), (2, 1), (9, 9))]
     labelled = tracking.weekly_components(spark.createDataFrame(rows, "timeline_bucket date, hazard_family string, cell_x long, cell_y long"))
-    comps = tracking.component_summary(labelled).withColumn("fields", F.col("cells"))
+    comps = tracking.component_summary(labelled)
     assert sorted((r.timeline_bucket.day, r.cell_count) for r in comps.collect()) == [(6, 1), (6, 2), (13, 1), (13, 2)]
-    scores = tracking.score_links(comps)
-    primary = tracking.primary_links(scores, tracking.LinkPolicy(threshold=0.2)).collect()
-    assert len(primary) == 1 and primary[0].cell_jaccard == pytest.approx(1 / 3)
-    chains = tracking.exposures(comps, tracking.primary_links(scores, tracking.LinkPolicy(threshold=0.2)))
-    assert chains.select("exposure_id").distinct().count() == 3
+    lanes = [(date(2025, 1, 6), "heat", *p, f, s, fresh) for p, f, s, fresh in (((0, 0), "a", "ACTIVE", False), ((1, 1), "b", "SEVERE", True), ((2, 2), "c", "ACTIVE", True), ((2, 2), "d", "WATCH", True), ((2, 1), "e", "WATCH", False), ((3, 3), "f", "WATCH", False), ((5, 5), "g", "WATCH", False))]
+    members = tracking.component_members(comps, spark.createDataFrame(lanes, "timeline_bucket date, hazard_family string, cell_x long, cell_y long, field_id string, event_state string, fresh boolean"))
+    # An active field outside the cells belongs to none; (3, 3) touches no cell's neighbourhood.
+    assert {r.field_id: r.membership_role for r in members.collect()} == {"a": "pressure_core", "b": "pressure_core", "d": "impact_lag", "e": "watch_frontier", "g": "watch_frontier"}
+    assert sorted(r.cell_count for r in tracking.without_core(comps, members).where("timeline_bucket = date'2025-01-06'").collect()) == [1]
+
+
+def test_link_scores_follow_the_weights(spark):
+    pair = components_of(spark, [(0, "a", ["0:0", "1:0"], "xyz"), (2, "b", ["1:0", "2:0"], "yzw")])
+    row = tracking.score_links(pair).collect()
+    near = np.exp(-5.0 / 15.0)
+    assert len(row) == 1 and row[0].gap_weeks == 2 and row[0].cell_jaccard == pytest.approx(1 / 3) and row[0].episode_jaccard == 0.5 and row[0].stage_cosine == pytest.approx(1.0)
+    assert row[0].score == pytest.approx(0.35 * 0.5 + 0.25 / 3 + 0.25 * 0.5 + 0.15 * near - 0.1)
+    far = components_of(spark, [(0, "a", ["0:0"], "x"), (1, "b", ["9:9"], "y"), (3, "c", ["0:0"], "x")])
+    assert tracking.score_links(far).collect() == []
+
+
+def test_splits_merges_and_gaps(spark):
+    comps = components_of(spark, [
+        (0, "a", ["0:0", "1:0"], "pqrs"), (1, "b", ["0:0"], "pqr"), (1, "c", ["1:0"], "s"), (3, "d", ["0:0", "1:0"], "pqrs"), (4, "e", ["0:0"], "pq"), (4, "z", ["40:40"], "k"), (7, "f", ["0:0"], "pq"),
+    ])
+    tracked = tracking.track(comps, tracking.score_links(comps)).collect()
+    named = {r.component_id[-1]: r.exposure_id[-1] for r in tracked if r.kind == "assignment"}
+    assert named == {"a": "a", "b": "a", "c": "c", "d": "a", "e": "a", "z": "z", "f": "f"}  # three weeks are too long a gap
+    edges = {(r.related_exposure_id[-1], r.exposure_id[-1], r.relation) for r in tracked if r.kind == "lineage"}
+    assert edges == {("a", "c", "split"), ("c", "a", "merge")}
+    continued = [r for r in tracked if r.kind == "assignment" and r.relation == "continued"]
+    assert {(r.previous_id[-1], r.component_id[-1]) for r in continued} == {("a", "b"), ("b", "d"), ("d", "e")}
+
+
+def brute_tracking(rows, scores, threshold):
+    """Week by week over everything, by trying all matchings."""
+    latest, named = {}, {}
+    for week in sorted({w for w, *_ in rows}):
+        own = [n for w, n, *_ in rows if w == week]
+        before = list(latest)
+        best, chosen = -1.0, {}
+        for picks in itertools.permutations([*before, *[None] * len(own)], len(own)):
+            total, links = 0.0, {}
+            for n, b in zip(own, picks):
+                score = scores.get((b, n), -1.0)
+                if b is not None and score >= threshold:
+                    total, links[n] = total + score, b
+            if total > best + 1e-12:
+                best, chosen = total, links
+        ended = set(chosen.values())
+        for b in before:
+            merged = [n for n in own if scores.get((b, n), -1) >= 0.3 and n in chosen and b not in ended]
+            if merged:
+                ended.add(b)
+        for n in own:
+            named[n] = latest[chosen[n]] if n in chosen else n
+        latest = {b: e for b, e in latest.items() if b not in ended} | {n: named[n] for n in own}
+    return named
+
+
+def test_tracking_equals_brute_force(spark):
+    rng = random.Random(4)
+    rows = []
+    for week in range(5):
+        for k in range(3):
+            x = rng.randrange(0, 6)
+            rows.append((week, f"{week}x{k}", sorted({f"{x + i}:{k // 2}" for i in range(rng.randrange(1, 4))}), rng.sample("abcdefgh", rng.randrange(1, 5))))
+    comps = components_of(spark, rows)
+    links = tracking.score_links(comps, tracking.LinkPolicy(related_jaccard=0.0))
+    scores = {(r.previous_id[10:], r.current_id[10:]): r.score for r in links.collect()}
+    expected = brute_tracking(rows, scores, 0.35)
+    tracked = tracking.assignments(tracking.track(comps, links, tracking.LinkPolicy(related_jaccard=0.0))).collect()
+    assert {r.component_id[10:]: r.exposure_id[9:] for r in tracked} == expected
+    assert len({(r.exposure_id, r.timeline_bucket) for r in tracked}) == len(rows)
+
+
+def test_lineage_segments_and_cycles(spark):
+    day = date(2025, 1, 6)
+    edges = spark.createDataFrame([(day, "a", "b", "split"), (day + timedelta(70), "a", "b", "merge"), (day, "a", "x", "split")], "timeline_bucket date, parent_incident_id string, child_incident_id string, relation string")
+    segments = spark.createDataFrame([("a", "a1", day, day + timedelta(21)), ("a", "a2", day + timedelta(60), day + timedelta(90)), ("b", "b1", day, day + timedelta(30))], "base_id string, segment_id string, first_week date, last_week date")
+    assert [(r.parent_segment_id, r.child_segment_id) for r in tracking.remap_segments(edges, segments).collect()] == [("a1", "b1")]
+    graph = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b"), ("d", "e")], "p string, c string")
+    assert sorted(r.node for r in tracking.cyclic(graph, "p", "c").collect()) == ["b", "c"]
+    assert tracking.cyclic(graph.where("p <> 'c'"), "p", "c").collect() == []
 
 
 def test_lifecycle():
