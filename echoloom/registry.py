@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from echoloom.plans import evidence, monitoring, relational, serving, viewer
+from echoloom.plans import evidence, monitoring, relational, replay, serving, viewer
 
-QUERIES: dict = {**monitoring.QUERIES, **evidence.QUERIES, **relational.QUERIES, **viewer.QUERIES, **serving.QUERIES}
-ORACLES: dict[str, str] = {**monitoring.ORACLES, **evidence.ORACLES, **relational.ORACLES, **viewer.ORACLES, **serving.ORACLES}
+QUERIES: dict = {**monitoring.QUERIES, **evidence.QUERIES, **relational.QUERIES, **viewer.QUERIES, **serving.QUERIES, **replay.QUERIES}
+ORACLES: dict[str, str] = {**monitoring.ORACLES, **evidence.ORACLES, **relational.ORACLES, **viewer.ORACLES, **serving.ORACLES, **replay.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
