@@ -168,7 +168,7 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out[:n]
 
 
-def byte_batches(rows, limit: int = 2 << 20):
+def byte_batches(rows, limit: int = 1 << 19):
     """Cuts an iterable of (key, bytes) into lists of at most `limit` bytes, one text at least."""
     batch, held = [], 0
     for row in rows:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from echoloom.llm.bytehash import _LOWER, U64, PrefixHash, byte_batches, join_texts, to_bytes, word_spans
-from echoloom.llm.common import stored
+from echoloom.llm.common import give_back, stored
 
 #: The default bound of the labelled sample.
 LABELLED = 6000
@@ -38,8 +38,8 @@ SURE = 0.97
 RIDGE = 5.0
 #: Hashed words of the text view, hashed names of the metadata view.
 WORD_SLOTS, NAME_SLOTS = 128, 32
-#: Sums that are added up at once.
-FAN = 32
+#: Sums that are added up at once, and feature rows that are.
+FAN, ROWS = 32, 2048
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[ord("a") : ord("z") + 1] = 1
 _KIND[ord("A") : ord("Z") + 1] = 2
@@ -239,8 +239,9 @@ def _handed_over(unlabelled: DataFrame, model: Model) -> Sums:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums()
         for batch in batches:
-            if batch.num_rows:
-                sums.add(model, _vectors(batch.column(0)))
+            for start in range(0, batch.num_rows, ROWS):
+                sums.add(model, _vectors(batch.column(0).slice(start, ROWS)))
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([sums.flat.tobytes()], pa.binary())], names=["node", "sums"])
 
     def together(key, table):
@@ -301,6 +302,7 @@ def features(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for place, x in _rows_of(batch):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(place.start, len(x)), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "x"])
+        give_back()
 
     return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_columns(docs)).mapInArrow(run, "doc_id long, x binary"))
 
@@ -333,8 +335,9 @@ def score(known_features: DataFrame, model: Model) -> DataFrame:
     """(doc_id, quality_score, text_score, meta_score, kept) for every row of `features`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
                 total, text, meta = model.score(_vectors(batch.column("x")))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(total), pa.array(text), pa.array(meta), pa.array(total >= model.threshold)], names=[f.split()[0] for f in SCORES.split(", ")])
 
@@ -351,6 +354,7 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
             for place, x in _rows_of(batch):
                 keep[place] = model.score(x)[0] >= model.threshold
             yield batch.select(["text", "rest"]).filter(pa.array(keep))
+        give_back()
 
     kept = packed.mapInArrow(run, packed.select("text", "rest").schema)
     return kept.select(*[(F.col("text") if c == "text" else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from echoloom.llm.bytehash import U64, byte_batches, shingle_sets, splitmix, to_bytes
-from echoloom.llm.common import checkpointed, partitions, stored
+from echoloom.llm.common import checkpointed, give_back, partitions, stored
 from echoloom.llm.components import Forest, smallest_reachable
 
 CHUNK_SYMBOLS = 4
@@ -98,6 +98,7 @@ def _describe(size: int):
                     ],
                     names=["doc_id", "n_shingles", "bytes", "class", "signature", "digest"],
                 )
+        give_back()
 
     return run
 
@@ -125,6 +126,7 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(star), pa.int64()), column.take(pa.array(star[:, 0])), column.take(pa.array(star[:, 1]))], names=["key", "class", "other"]
             )
+    give_back()
 
 
 def confirmed(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -191,6 +193,7 @@ def _confirm(size: int, percent: int):
                 held.append((key[1], side.as_py(), cls.as_py(), sign.as_py(), to_bytes(text.as_py())))
         if held:
             yield finish(held)
+        give_back()
 
     return run
 
@@ -316,7 +319,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     members = families.join(classes, families.node == classes["class"]).select("class", F.col("root").alias("family"), "signature", "n_shingles", "bytes", "holder")
     sought = members.withColumn("at", F.struct(F.coalesce(F.col("holder.doc_id"), F.lit(0)).alias("id"), F.col("holder.doc_id").isNull().alias("none"), F.col("holder.digest").alias("digest"))).drop("holder")
     here = docs.select(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest")).alias("at"), "text")
-    rows = stored(sought.join(here, "at").drop("at").dropDuplicates(["class"]))
+    rows = sought.join(here, "at").drop("at")
+    if known.groupBy("doc_id", "digest").count().where("count > 1").limit(1).count():
+        rows = rows.dropDuplicates(["class"])  # whole rows are repeated; otherwise texts need not be sorted by class
+    rows = stored(rows)
     weight = rows.groupBy("family").agg(F.sum("bytes").alias("family_bytes")).where(F.col("family_bytes") > BLOCK_BYTES)
     marked = _salted(rows, weight, ["family"], "left")
     small = marked.where("family_bytes is null").select(*_held(F.hash("family"), F.lit(2)))
