@@ -16,7 +16,7 @@ CORE = ("ACTIVE", "SEVERE")
 def rings(cells: list[tuple[int, int]], size: float) -> list[list[tuple[float, float]]]:
     """The boundary of a set of grid cells, as closed rings of corners; outer ones run left-handed, holes the other way.
 
-    An edge that two cells share cancels; the others are walked, turning right where two rings touch.
+    An edge that two cells share cancels; the others are walked, turning left where two rings touch.
     """
     edges: dict[tuple, list] = {}
     have = set(cells)
@@ -31,7 +31,7 @@ def rings(cells: list[tuple[int, int]], size: float) -> list[list[tuple[float, f
         while True:
             onward = edges[at]
             if way is not None and len(onward) > 1:
-                onward.sort(key=lambda p: (way[0] * (p[1] - at[1]) - way[1] * (p[0] - at[0])))  # the sharpest right turn first
+                onward.sort(key=lambda p: way[1] * (p[0] - at[0]) - way[0] * (p[1] - at[1]))  # a left turn first: rings that touch stay two
             to = onward.pop(0)
             if not onward:
                 del edges[at]

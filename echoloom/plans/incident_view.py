@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from echoloom.durable import stored
-from echoloom.operators import cells, checks, evidence, incident_view
+from echoloom.operators import cells, checks, evidence, finalizer, incident_view
 from echoloom.plans import evidence as ledgers
 from echoloom.plans import learning, monitoring
 
@@ -131,7 +131,42 @@ def incident_weeks(spark, sf_dir):
     return incident_view.with_totals(weekly, incident_view.stage_rates(weekly, members, context))
 
 
-_NAMES = ["incident_footprints", "incident_boundaries", "frame_fields", "story_day_members", "late_pressure", "acquisition_marks", "incident_checkpoints", "lifecycle_reconciliation", "contradiction_diagnosis", "incident_spine",
+def _final_inputs(spark, sf_dir):
+    """Members with role and episode, the scaffold, follow-ups and lineage (a crop's drought splits off its heat)."""
+    weekly, members, context = _parts(spark, sf_dir)
+    core, fresh = F.col("event_state").isin("ACTIVE", "SEVERE"), F.col("fresh")
+    key = F.concat_ws("/", "field_id", "crop_instance_id", F.substring_index("incident_id", "/", -1)).alias("episode_key")
+    own = members.select("incident_id", "timeline_bucket", key, F.when(core, "pressure_core").when(fresh, "impact_lag").otherwise("watch_frontier").alias("membership_role"), "event_state", fresh.alias("fresh_decline"), F.lit(False).alias("fresh_recovery"), "cell_x", "cell_y")
+    own = stored(own)
+    healed = _days(spark, sf_dir).where("response_class = 'recovery'").select("crop_instance_id", F.date_trunc("week", "observation_date").cast("date").alias("timeline_bucket")).distinct()
+    held = members.select("incident_id", "field_id", "crop_instance_id").distinct()
+    seen = healed.join(held, "crop_instance_id").select(key, "timeline_bucket", F.lit("RECOVERING").alias("event_state"), F.lit(False).alias("fresh_decline"), F.lit(True).alias("fresh_recovery"))
+    weeks = stored(finalizer.scaffold(own, context))
+    # The first week of a crop's drought that follows a week of its heat: one edge a crop.
+    crop = F.substring_index("incident_id", "/", 1).alias("crop")
+    heat, dry = (weekly.where(F.col("incident_id").endswith(h)).select(crop, "incident_id", "timeline_bucket") for h in ("/heat", "/drought"))
+    edges = heat.select("crop", F.col("incident_id").alias("parent_incident_id"), F.date_add("timeline_bucket", 7).alias("timeline_bucket")).join(dry.select("crop", F.col("incident_id").alias("child_incident_id"), "timeline_bucket"), ["crop", "timeline_bucket"])
+    edges = edges.groupBy("parent_incident_id", "child_incident_id").agg(F.max("timeline_bucket").alias("timeline_bucket")).withColumn("relation", F.lit("split"))
+    return weeks, own, edges, stored(finalizer.follow_ups(own, seen))
+
+
+def story_scaffold(spark, sf_dir):
+    return _final_inputs(spark, sf_dir)[0].select("incident_id", "timeline_bucket", "adequate", "core_count", "is_tail")
+
+
+def follow_up_evidence(spark, sf_dir):
+    return _final_inputs(spark, sf_dir)[3].select("incident_id", "episode_key", "timeline_bucket", "fresh_recovery")
+
+
+def final_story_weeks(spark, sf_dir):
+    return finalizer.finalize(*_final_inputs(spark, sf_dir))
+
+
+def final_story_windows(spark, sf_dir):
+    return finalizer.story_windows(final_story_weeks(spark, sf_dir))
+
+
+_NAMES = ["story_scaffold", "follow_up_evidence", "final_story_weeks", "final_story_windows", "incident_footprints", "incident_boundaries", "frame_fields", "story_day_members", "late_pressure", "acquisition_marks", "incident_checkpoints", "lifecycle_reconciliation", "contradiction_diagnosis", "incident_spine",
           "viewer_checks", "archetype_preview", "motif_export", "incident_drilldown", "incident_stage_rates", "incident_weeks"]
 QUERIES = {name: globals()[name] for name in _NAMES}
 
@@ -156,6 +191,17 @@ mi AS (SELECT incident_id, timeline_bucket, count(*) FILTER (WHERE NOT found) AS
 ra AS (SELECT be.*, coalesce(affected_instances, 0) AS affected_instances, missing_cells, round(coalesce(coalesce(affected_instances, 0) / nullif(evaluable_instances, 0), 0), 9) AS rate FROM be LEFT JOIN ab USING (incident_id, timeline_bucket, stage_bucket) JOIN mi USING (incident_id, timeline_bucket))"""
 _VIEWER = ["weeks_repeat", "members_repeat", "members_without_week", "members_without_context", "weeks_without_members", "not_mondays", "days_outside_week", "more_severe_than_affected"]
 ORACLES = {
+    "story_scaffold": f"""WITH {LOCATED}, o AS (SELECT incident_id, timeline_bucket, list(DISTINCT (cell_x, cell_y)) AS own, count(*) FILTER (WHERE event_state IN ('ACTIVE', 'SEVERE')) AS core FROM mem GROUP BY 1, 2),
+      w AS (SELECT incident_id, unnest(generate_series(min(timeline_bucket), max(timeline_bucket) + 28, INTERVAL 7 DAY))::DATE AS timeline_bucket FROM o GROUP BY 1),
+      r AS (SELECT w.*, own, core, last_value(own IGNORE NULLS) OVER (PARTITION BY w.incident_id ORDER BY w.timeline_bucket) AS cells FROM w LEFT JOIN o USING (incident_id, timeline_bucket)),
+      s AS (SELECT timeline_bucket, cell_x, cell_y, bool_or(evaluable) AS seen FROM loc GROUP BY 1, 2, 3), u AS (SELECT incident_id, timeline_bucket, unnest(cells) AS c FROM r),
+      a AS (SELECT u.incident_id, u.timeline_bucket, bool_and(coalesce(seen, false)) AS adequate FROM u LEFT JOIN s ON s.timeline_bucket = u.timeline_bucket AND s.cell_x = c[1] AND s.cell_y = c[2] GROUP BY 1, 2)
+      SELECT r.incident_id, r.timeline_bucket, adequate, coalesce(core, 0) AS core_count, own IS NULL AS is_tail FROM r JOIN a USING (incident_id, timeline_bucket)""",
+    "follow_up_evidence": f"""WITH {LOCATED}, k AS (SELECT incident_id, timeline_bucket, concat_ws('/', field_id, crop_instance_id, split_part(incident_id, '/', 2)) AS episode_key, crop_instance_id FROM mem),
+      e AS (SELECT DISTINCT k.episode_key, date_trunc('week', s.observation_date)::DATE AS timeline_bucket FROM k JOIN sig s USING (crop_instance_id) WHERE s.response_class = 'recovery'),
+      h AS (SELECT incident_id, episode_key, min(timeline_bucket) AS a, max(timeline_bucket) AS z FROM k GROUP BY 1, 2)
+      SELECT h.incident_id, e.episode_key, e.timeline_bucket, true AS fresh_recovery FROM e JOIN h USING (episode_key) WHERE e.timeline_bucket BETWEEN a AND z + 28
+      AND NOT EXISTS (SELECT 1 FROM k WHERE k.incident_id = h.incident_id AND k.episode_key = e.episode_key AND k.timeline_bucket = e.timeline_bucket)""",
     "incident_footprints": f"""WITH {LOCATED}, r AS (SELECT incident_id, timeline_bucket, CASE WHEN event_state IN ('ACTIVE', 'SEVERE') THEN 'core' ELSE 'watch' END AS role, cell_x, cell_y FROM mem UNION ALL SELECT incident_id, timeline_bucket, 'combined', cell_x, cell_y FROM mem),
       f AS (SELECT incident_id, timeline_bucket, role, list_transform(list_sort(list(DISTINCT (cell_x, cell_y))), lambda c: c[1]::VARCHAR || ':' || c[2]::VARCHAR) AS l FROM r GROUP BY 1, 2, 3), g AS (SELECT *, array_to_string(l, ',') AS cells FROM f)
       SELECT incident_id, timeline_bucket, role, cells, round(len(l) * {SIZE * SIZE!r}::DOUBLE, 6) AS area_km2, count(*) OVER (PARTITION BY timeline_bucket, role, cells) > 1 AS coincident FROM g""",

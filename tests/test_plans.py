@@ -20,6 +20,10 @@ def cell(v):
     return str(v)
 
 
+#: The smallest tables have too few significant weeks for links, and too few rows for motifs of ten.
+MAY_BE_EMPTY = {"link_scores", "primary_links", "exposure_lineage", "crop_lineage", "motif_prototypes"}
+
+
 @pytest.fixture(scope="module")
 def duck(small):
     con = duckdb.connect()
@@ -43,7 +47,10 @@ def test_query_equals_sql(spark, small, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_other_queries_run(spark, small, name):
-    assert registry.QUERIES[name](spark, small).columns
+    """Executed in full; what they should give is held by brute force and fixtures in the other files."""
+    df = registry.QUERIES[name](spark, small)
+    rows = df.collect()
+    assert df.columns and all(len(r) == len(df.columns) for r in rows) and (rows or name in MAY_BE_EMPTY)
 
 
 def test_filters_reach_the_scan(spark, small):
