@@ -3,6 +3,11 @@
 Each stage takes what its predecessor kept and its decisions take effect: documents that the quality
 classifier rejects go; of each group of near-duplicates one document stays; passages of documents
 that stand in an earlier one go; documents that hold a benchmark item go; what is left is encoded.
+
+Null and empty texts are no near-duplicates of anything and stay empty; a null doc_id takes nothing away
+and keeps its text; of rows that repeat an id and a text one stays; extra columns pass through all stages but
+the last, whatever their names; empty tables give empty results.  The last stage returns counts, digests
+and the token ids.
 """
 
 from __future__ import annotations

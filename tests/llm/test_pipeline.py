@@ -47,3 +47,26 @@ def test_stages_and_run(spark, small):
     assert {r.doc_id: r.ids_sha256 for r in tables[5].collect()} == expected
     assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, small).collect()} == expected
     assert shingles("a b", 5)
+
+
+def test_odd_rows_pass_all_stages(spark, tmp_path):
+    prose = "the quick brown fox jumps over the lazy dog while seven wizards quietly boil an enormous pot of lentil soup near the old harbour wall"
+    kind = "doc_id long, text string, lang string, source string, n_chars long, class string, kept int, rest string, x binary"
+
+    def row(i, text):
+        return (i, text, "en", "s", len(text or ""), "clash", 1, "clash", b"z")
+
+    rows = [row(1, prose), row(1, prose), row(2, prose + " again"), row(3, None), row(4, ""), row(5, None), row(None, "an own text that stands without any id at all"), row(6, "x" * 300_000 + " " + "word " * 60_000)]
+    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    for name, chosen in (("rows", rows), ("empty", [])):
+        folder = tmp_path / name
+        spark.createDataFrame(chosen, kind).write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
+        spark.createDataFrame([(1, "nothing of this kind"), (2, None)], "item_id long, text string").write.parquet(str(folder / "benchmark.parquet"))
+        docs = spark.read.parquet(str(folder / "documents.parquet"))
+        for step, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, str(folder))
+            assert docs.columns == [c.split()[0] for c in kind.split(", ")], step
+        out = corpus_pipeline.run(spark, str(folder)).collect()
+        expected = {None: rows[6][1], 1: prose, 3: "", 4: "", 5: "", 6: rows[7][1]} if chosen else {}
+        assert {r.doc_id: r.n_tokens for r in out} == {d: len(reference.encode_ordinary(t)) for d, t in expected.items()} and len(out) == len(expected)
