@@ -25,8 +25,8 @@ def daily_pressure_grid(spark, sf_dir):
 
 def stage_summary(spark, sf_dir):
     """Every cell with an active instance as a component of its own."""
-    activity, (context, lanes) = monitoring._activity(spark, sf_dir), monitoring._parts(spark, sf_dir)
-    busy = activity.where("active_count >= 1").select("timeline_bucket", "hazard_family", "cell_x", "cell_y", F.concat_ws(":", F.lit("g"), F.col("cell_x").cast("string"), F.col("cell_y").cast("string")).alias("component_id"))
+    context, lanes = monitoring._parts(spark, sf_dir)
+    busy = monitoring._activity(context, lanes).where("active_count >= 1").select("timeline_bucket", "hazard_family", "cell_x", "cell_y", F.concat_ws(":", F.lit("g"), F.col("cell_x").cast("string"), F.col("cell_y").cast("string")).alias("component_id"))
     return materialize.stage_summary(busy, cells.on_grid(context, monitoring.GRID), lanes.where("canonical"))
 
 
