@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from echoloom.llm.bytehash import PrefixHash, splitmix, to_bytes
+from echoloom.llm.common import give_back
 
 #: Pieces and pairs that a worker remembers before it starts afresh; bounds memory only.
 CACHE_ENTRIES = 600_000
@@ -352,6 +353,9 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
                     packed.append(ids)
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digest, pa.string()), pa.array(text_digest, pa.string())]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(packed, pa.binary())] * with_ids, names=names)
+        encoder.cache_clear()  # the tables of 50,000 tokens would stay in idle workers
+        del bpe, words
+        give_back()
 
     schema = RESULT + ", ids binary" * with_ids
     names = [part.split()[0] for part in schema.split(", ")]

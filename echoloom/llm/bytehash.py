@@ -53,6 +53,13 @@ class _PowerTable:
 
 
 _TABLE = _PowerTable()
+
+
+def release_tables() -> None:
+    """Forgets the powers; the next batch makes its own."""
+    _TABLE.up = _TABLE.down = np.zeros(0, dtype=U64)
+
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

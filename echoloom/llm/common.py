@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from echoloom.llm.bytehash import release_tables
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -84,7 +86,11 @@ class Passes:
 
 
 def give_back() -> None:
-    """Returns the allocator's free memory to the system at the end of a task: workers live on, and idle ones count."""
+    """Returns memory to the system at the end of a task: workers live on, and idle ones count.
+
+    The tables of powers go, which grow to the longest batch seen, and what the allocator holds free.
+    """
+    release_tables()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library

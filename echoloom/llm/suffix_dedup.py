@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from echoloom.llm.bytehash import U64, PrefixHash, sliding_min, splitmix, to_bytes
-from echoloom.llm.common import partitions, total_bytes
+from echoloom.llm.common import give_back, partitions, total_bytes
 
 GRAM = 24
 #: Text bytes of a batch of documents; bounds the memory of the tasks that read texts.
@@ -398,14 +398,29 @@ def _dealt(docs: DataFrame, min_len: int, rest) -> tuple[DataFrame, int]:
     return chosen, parts
 
 
+def _giving_back(run):
+    """The same function of a key and one or two tables, which leaves no memory behind in the worker."""
+    if run.__code__.co_argcount == 2:
+        def done(key, table):
+            out = run(key, table)
+            give_back()
+            return out
+    else:
+        def done(key, texts, verdicts):
+            out = run(key, texts, verdicts)
+            give_back()
+            return out
+    return done
+
+
 def _run(docs: DataFrame, min_len: int, rest: list, schema: str, digests: bool) -> DataFrame:
     texts, parts = _dealt(docs, min_len, rest)
     by_batch = texts.groupBy("batch")
-    verdicts = by_batch.applyInArrow(_post(min_len, parts), POSTS).groupBy("part").applyInArrow(_first_scan, VERDICTS)
-    asked = by_batch.cogroup(verdicts.groupBy("batch")).applyInArrow(_ask(min_len, parts), POSTS)
-    strings = asked.groupBy("part").applyInArrow(_second_scan(min_len), VERDICTS)
+    verdicts = by_batch.applyInArrow(_giving_back(_post(min_len, parts)), POSTS).groupBy("part").applyInArrow(_giving_back(_first_scan), VERDICTS)
+    asked = by_batch.cogroup(verdicts.groupBy("batch")).applyInArrow(_giving_back(_ask(min_len, parts)), POSTS)
+    strings = asked.groupBy("part").applyInArrow(_giving_back(_second_scan(min_len)), VERDICTS)
     answers = verdicts.unionByName(strings)
-    return by_batch.cogroup(answers.groupBy("batch")).applyInArrow(_finish(min_len, parts, digests), schema)
+    return by_batch.cogroup(answers.groupBy("batch")).applyInArrow(_giving_back(_finish(min_len, parts, digests)), schema)
 
 
 def substring_digests(docs: DataFrame, min_len: int = 50) -> DataFrame:
