@@ -17,17 +17,43 @@ def normal_upper_tail(z: pd.Series) -> pd.Series:
     return z.map(lambda v: 0.5 * math.erfc(v / math.sqrt(2.0)) if v is not None and math.isfinite(v) else 1.0)
 
 
+def _in_unit(p: str) -> Column:
+    """p held within 0 and 1; a missing one is 1."""
+    return F.when(F.col(p).isNull() | F.isnan(p), F.lit(1.0)).otherwise(F.least(F.greatest(F.col(p), F.lit(0.0)), F.lit(1.0)))
+
+
+def _adjusted(keys: list[str]) -> Column:
+    """The least __p * __m / __rank at or above a row's rank.  It runs down the ranks: a frame that ends
+    with the partition would be gone through anew for each row."""
+    above = Window.partitionBy(*keys).orderBy(F.desc("__rank")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.least(F.min(F.col("__p") * F.col("__m") / F.col("__rank")).over(above), F.lit(1.0))
+
+
 def benjamini_hochberg(df: DataFrame, keys: list[str], p: str, q: str, ties: list[str]) -> DataFrame:
     """Adds q: the least p * m / rank among the ranks at or above a row's, within `keys`.
 
-    Two windows over one partitioning and sort; `ties` makes the order total.
+    Two running windows over one partitioning; `ties` makes the order total.  A key's rows are one task.
     """
-    value = F.when(F.col(p).isNull() | F.isnan(p), F.lit(1.0)).otherwise(F.least(F.greatest(F.col(p), F.lit(0.0)), F.lit(1.0)))
     order = Window.partitionBy(*keys).orderBy("__p", *ties)
-    ranked = df.withColumn("__p", value).withColumn("__rank", F.row_number().over(order)).withColumn("__m", F.count("*").over(Window.partitionBy(*keys)))
-    above = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    adjusted = F.least(F.min(F.col("__p") * F.col("__m") / F.col("__rank")).over(above), F.lit(1.0))
-    return ranked.withColumn(q, adjusted).drop("__p", "__rank", "__m")
+    ranked = df.withColumn("__p", _in_unit(p)).withColumn("__rank", F.row_number().over(order)).withColumn("__m", F.count("*").over(Window.partitionBy(*keys)))
+    return ranked.withColumn(q, _adjusted(keys)).drop("__p", "__rank", "__m")
+
+
+def benjamini_hochberg_by_value(df: DataFrame, keys: list[str], p: str, q: str) -> DataFrame:
+    """The q of benjamini_hochberg for keys of many rows and fewer values of p; `df` is read twice.
+
+    Rows of one p share the q of the last rank among them, so only the distinct values are ranked; a key's
+    values are one task, its rows are not.
+    """
+    rows = df.withColumn("__p", _in_unit(p))
+    values = rows.groupBy(*keys, "__p").agg(F.count("*").alias("__n"))
+    upto = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = values.withColumn("__rank", F.sum("__n").over(upto)).withColumn("__m", F.sum("__n").over(Window.partitionBy(*keys)))
+    found = ranked.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], F.col("__p").alias("__at"), _adjusted(keys).alias("__q"))
+    same = F.col("__p") == F.col("__at")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"__key{i}"))
+    return rows.join(found, same).withColumn(q, F.col("__q")).drop("__p", "__at", "__q", *[f"__key{i}" for i in range(len(keys))])
 
 
 def finite(value: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from echoloom.durable import stored
 from echoloom.functions import normalize as nz
-from echoloom.functions.statistics import benjamini_hochberg
+from echoloom.functions.statistics import benjamini_hochberg_by_value
 from echoloom.operators import cells, prototypes, signals, stories, temporal, tracking
 from echoloom.operators.signals import Policy
 from echoloom.sources import observations as obs
@@ -219,7 +219,7 @@ def asof_stage(spark, sf_dir):
 def fdr_control(spark, sf_dir):
     p = ((F.col("event_id") * 37 % 1000 + 1).cast("double") / F.lit(1001.0)).alias("p")
     rows = _events(spark, sf_dir).select("event_id", "event_type", p)
-    return benjamini_hochberg(rows, ["event_type"], "p", "q", ["event_id"]).withColumn("q", F.round("q", 9))
+    return benjamini_hochberg_by_value(rows, ["event_type"], "p", "q").withColumn("q", F.round("q", 9))
 
 
 FEATURES = ("ndvi", "ndmi", "psri")

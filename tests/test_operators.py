@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from echoloom.functions.statistics import benjamini_hochberg, best_assignment, normal_upper_tail
+from echoloom.functions.statistics import benjamini_hochberg, benjamini_hochberg_by_value, best_assignment, normal_upper_tail
 from echoloom.operators import cells, prototypes, signals, stories, temporal, tracking
 from echoloom.operators.signals import Policy
 from echoloom.sources import bundle, geometry, observations
@@ -127,6 +127,23 @@ def test_tails_and_false_discovery(spark):
     assert q[3] == pytest.approx(got[3] * 5) and q[1] == pytest.approx(got[1] * 5 / 2) and q[4] == 1.0
 
 
+def test_false_discovery_runs_down_the_ranks(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, [None, "a", "b"][rng.integers(0, 3)], [None, float("nan"), -0.5, 1.5, -0.0, *(rng.integers(0, 20, 7) / 20).tolist()][rng.integers(0, 12)]) for k in range(300)]
+    df = spark.createDataFrame(rows, "k int, g string, p double")
+    want = {}
+    for g in (None, "a", "b"):
+        ranked = sorted((1.0 if p is None or p != p else min(max(p, 0.0), 1.0), k) for k, h, p in rows if h == g)
+        least = 1.0
+        for n in range(len(ranked), 0, -1):
+            least = min(least, ranked[n - 1][0] * len(ranked) / n)
+            want[ranked[n - 1][1]] = least
+    for found in (benjamini_hochberg(df, ["g"], "p", "q", ["k"]), benjamini_hochberg_by_value(df, ["g"], "p", "q")):
+        assert {r.k: r.q for r in found.collect()} == want and found.columns == ["k", "g", "p", "q"]
+        # Such a frame takes a time that grows with the square of a key's rows.
+        assert "currentrow$(), unboundedfollowing$()" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def components_of(spark, rows):
     """(week, name, cells, fields) as components with their sets; an episode is a field."""
     data = []
