@@ -97,6 +97,16 @@ class PrefixHash:
             return splitmix((self.sums[width:] - self.sums[:n]) * self._down[:n])
 
 
+def row_windows(rows: np.ndarray, width: int) -> np.ndarray:
+    """For each row of a byte matrix the hashes of all row[i:i+width], as PrefixHash has them."""
+    n, long = rows.shape
+    up, down = _powers(BASE, long), _powers(BASE_INVERSE, long)
+    sums = np.zeros((n, long + 1), dtype=U64)
+    with np.errstate(over="ignore"):
+        np.cumsum(BYTE_VALUE[rows] * up, axis=1, out=sums[:, 1:])
+        return splitmix((sums[:, width:] - sums[:, : long + 1 - width]) * down[: long + 1 - width])
+
+
 def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of all words in a buffer."""
     word = np.zeros(len(buf) + 2, dtype=np.int8)

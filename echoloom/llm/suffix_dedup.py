@@ -33,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echoloom.llm.bytehash import U64, PrefixHash, sliding_min, splitmix, to_bytes
+from echoloom.llm.bytehash import U64, PrefixHash, row_windows, sliding_min, splitmix, to_bytes
 from echoloom.llm.common import give_back, partitions, total_bytes
 
 GRAM = 24
 #: Text bytes of a batch of documents; bounds the memory of the tasks that read texts.
 BATCH_BYTES = 4 << 20
+#: Text bytes whose anchors are found at a time; their hashes stay in the cache.
+SLICE_BYTES = 1 << 17
 #: Anchors that an index task gets on average.
 PART_ANCHORS = 1 << 20
 #: Rows of a batch that enters the index family.
@@ -49,18 +51,35 @@ NONE, COVERED, UNDECIDED = 0, 1, 2
 
 
 class LogFamily:
-    """Sorted levels of (key, check, order) triples whose sizes fall geometrically.
+    """Sorted levels of (word, key, check, order) rows whose sizes fall geometrically.
+
+    The word mixes key and check, so that one fast sort orders the rows; rows are equal if key and
+    check are, and rows of one word that differ in them are told apart.
 
     Rows must be added in ascending order, with all rows of one order value in the same batch.
     """
 
     def __init__(self) -> None:
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.levels: list[tuple[np.ndarray, ...]] = []
 
     @staticmethod
-    def _sorted(key, check, order):
-        by = np.lexsort((order, check, key))
-        return key[by], check[by], order[by], by
+    def word(key, check):
+        with np.errstate(over="ignore"):
+            return check ^ (key * U64(0x9E3779B97F4A7C15))
+
+    @classmethod
+    def groups(cls, key, check):
+        """The rows in the order of their words, and where among them each distinct pair begins."""
+        word = cls.word(key, check)
+        by = np.argsort(word)
+        if len(by):
+            head = cls._heads(key[by], check[by])
+            if (head[1:] & (word[by][1:] == word[by][:-1])).any():  # different pairs of one word
+                by = np.lexsort((check, key, word))
+                head = cls._heads(key[by], check[by])
+        else:
+            head = np.zeros(0, dtype=bool)
+        return by, head
 
     @staticmethod
     def _heads(key, check):
@@ -68,50 +87,55 @@ class LogFamily:
         head[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
         return head
 
+    @classmethod
+    def _level(cls, key, check, order):
+        """Each distinct pair with its smallest order; also the sorted rows and their groups."""
+        by, head = cls.groups(key, check)
+        at = by[head]
+        least = np.minimum.reduceat(order[by], np.flatnonzero(head))
+        return (cls.word(key[at], check[at]), key[at], check[at], least), by, np.cumsum(head) - 1
+
     def add(self, key: np.ndarray, check: np.ndarray, order: np.ndarray) -> np.ndarray:
         """Which rows have an equal row of a smaller order, in this batch or in any level."""
         if not len(key):
             return np.zeros(0, dtype=bool)
-        key, check, order, by = self._sorted(key, check, order)
-        head = self._heads(key, check)
-        group = np.cumsum(head) - 1
-        seen = order > order[head][group]
-        level = (key[head], check[head], order[head])
+        level, by, group = self._level(key, check, order)
         known = np.zeros(len(level[0]), dtype=bool)
         for other in self.levels:
             known |= self._in_level(level, other)
-        seen |= known[group]
+        out = np.empty(len(by), dtype=bool)
+        out[by] = (order[by] > level[3][group]) | known[group]
         while self.levels and len(self.levels[-1][0]) <= 2 * len(level[0]):
             level = self._merge(self.levels.pop(), level)
         self.levels.append(level)
-        out = np.empty(len(by), dtype=bool)
-        out[by] = seen
         return out
 
     @staticmethod
     def _in_level(level, other) -> np.ndarray:
-        """The merge scan: equal neighbours once the two sorted runs are merged."""
-        n = len(level[0])
-        key, check = np.concatenate([other[0], level[0]]), np.concatenate([other[1], level[1]])
-        by = np.lexsort((check, key))
-        same = (key[by][1:] == key[by][:-1]) & (check[by][1:] == check[by][:-1])
-        out = np.zeros(n, dtype=bool)
-        at = by[1:][same] - len(other[0])
-        out[at[at >= 0]] = True
+        """The merge scan: both runs are sorted by word; within a word every row is looked at."""
+        out = np.zeros(len(level[0]), dtype=bool)
+        row, at = np.arange(len(level[0])), np.searchsorted(other[0], level[0])
+        while len(row):
+            here = at < len(other[0])
+            row, at = row[here], at[here]
+            here = other[0][at] == level[0][row]
+            row, at = row[here], at[here]
+            same = (other[1][at] == level[1][row]) & (other[2][at] == level[2][row])
+            out[row[same]] = True
+            row, at = row[~same], at[~same] + 1
         return out
 
     def _merge(self, older, newer):
-        key, check, order, _ = self._sorted(*(np.concatenate([a, b]) for a, b in zip(older, newer)))
-        head = self._heads(key, check)
-        return key[head], check[head], order[head]
+        return self._level(*(np.concatenate([a, b]) for a, b in zip(older[1:], newer[1:])))[0]
 
     def merged(self):
-        """All rows as one level, and the family becomes that level."""
-        level = self.levels[0] if self.levels else (np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64))
+        """The (key, check, order) of all rows as one level, and the family becomes that level."""
+        empty = np.zeros(0, U64)
+        level = self.levels[0] if self.levels else (empty, empty, empty, np.zeros(0, np.int64))
         for newer in self.levels[1:]:
             level = self._merge(level, newer)
         self.levels = [level]
-        return level
+        return level[1:]
 
 
 class _Batch:
@@ -129,56 +153,71 @@ class _Batch:
         self.offsets = np.zeros(len(self.texts) + 1, dtype=np.int64)
         np.cumsum([len(t) for t in self.texts], out=self.offsets[1:])
         self.buf = np.frombuffer(b"".join(self.texts), dtype=np.uint8)
+        self._parts: list[tuple[int, np.ndarray]] | None = None
         self._anchor(gram)
 
     def _anchor(self, gram: int) -> None:
-        n, width = len(self.buf), self.reach + 1
-        size = np.diff(self.offsets)
-        use = self.named & (size >= self.min_len)
-        self.at = self.doc = np.zeros(0, dtype=np.int64)
-        self.first = self.posting = self.at
-        self.grams = self.contexts = np.zeros(0, dtype=U64)
+        empty = np.zeros(0, dtype=np.int64)
+        found = [(empty, empty.astype(U64), empty.astype(U64)), *(self._anchors_of(a, b, gram) for a, b in self._slices())]
+        self.at, grams, contexts = (np.concatenate(some) for some in zip(*found))
+        self.doc = np.searchsorted(self.offsets, self.at, side="right") - 1
+        self.left = np.maximum(self.at - self.reach, self.offsets[self.doc])
+        self.right = np.minimum(self.at + self.min_len, self.offsets[self.doc + 1])
+        # One posting for each gram and context: that of the smallest id, which stands first.
+        by, head = LogFamily.groups(grams, contexts)
+        first = np.minimum.reduceat(by, np.flatnonzero(head)) if len(by) else by
+        order = np.argsort(first)
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        self.first = first[order]  # the anchor that stands for each posting
+        self.posting = np.empty(len(by), dtype=np.int64)
+        self.posting[by] = place[np.cumsum(head) - 1]
+        self.grams, self.contexts = grams[self.first], contexts[self.first]
+
+    def _slices(self):
+        """Runs of documents of about SLICE_BYTES."""
+        a = 0
+        while a < len(self.texts):
+            b = max(a + 1, int(np.searchsorted(self.offsets, self.offsets[a] + SLICE_BYTES, side="right")) - 1)
+            yield a, b
+            a = b
+
+    def _anchors_of(self, a: int, b: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places, grams and contexts of the anchors of documents a to b."""
+        base, width = self.offsets[a], self.reach + 1
+        buf, offsets = self.buf[base : self.offsets[b]], self.offsets[a : b + 1] - base
+        use = self.named[a:b] & (np.diff(offsets) >= self.min_len)
         if not use.any():
-            return
-        sums = PrefixHash(self.buf)
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U64), np.zeros(0, dtype=U64)
+        sums = PrefixHash(buf)
         hashes = sums.windows(gram)
         rank = np.maximum(hashes >> U64(32), U64(1)).astype(np.uint32)
         least = sliding_min(rank, width)  # for each string start, up to n - min_len
-        edge = np.zeros(n + 1, dtype=np.int32)  # the starts at which a whole string fits into a document in use
-        np.add.at(edge, self.offsets[:-1][use], 1)
-        np.add.at(edge, (self.offsets[1:] - self.min_len + 1)[use], -1)
+        edge = np.zeros(len(buf) + 1, dtype=np.int32)  # the starts at which a whole string fits into a document in use
+        np.add.at(edge, offsets[:-1][use], 1)
+        np.add.at(edge, (offsets[1:] - self.min_len + 1)[use], -1)
         starts = np.cumsum(edge[: len(least)]) > 0
         # The largest minimum among the strings that hold a position; it is an anchor if that is its own.
         none = np.uint32(0xFFFFFFFF)
         turned = np.full(len(rank) + width - 1, none, dtype=np.uint32)
         turned[width - 1 : width - 1 + len(least)] = np.where(starts, ~least, none)
         lowest = sliding_min(turned, width)[: len(rank)]
-        self.at = np.flatnonzero((~lowest == rank) & (lowest != none))
-        self.doc = np.searchsorted(self.offsets, self.at, side="right") - 1
-        self.left = np.maximum(self.at - self.reach, self.offsets[self.doc])
-        self.right = np.minimum(self.at + self.min_len, self.offsets[self.doc + 1])
+        at = np.flatnonzero((~lowest == rank) & (lowest != none))
+        doc = np.searchsorted(offsets, at, side="right") - 1
+        left = np.maximum(at - self.reach, offsets[doc])
+        right = np.minimum(at + self.min_len, offsets[doc + 1])
         with np.errstate(over="ignore"):
-            context = splitmix(sums.ranges(self.left, self.right) + (self.at - self.left).astype(U64) * U64(0x9E3779B97F4A7C15))
-        grams, contexts = hashes[self.at] >> U64(16), context >> U64(16)
-        # One posting for each gram and context: that of the smallest id, which stands first.
-        by = np.lexsort((contexts, grams))
-        head = LogFamily._heads(grams[by], contexts[by])
-        group = np.cumsum(head) - 1
-        first = np.minimum.reduceat(by, np.flatnonzero(head)) if len(by) else by
-        order = np.argsort(first, kind="stable")
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = np.arange(len(order))
-        self.first = first[order]  # the anchor that stands for each posting
-        self.posting = np.empty(len(by), dtype=np.int64)
-        self.posting[by] = place[group]
-        self.grams, self.contexts = grams[self.first], contexts[self.first]
+            context = splitmix(sums.ranges(left, right) + (at - left).astype(U64) * U64(0x9E3779B97F4A7C15))
+        return at + base, hashes[at] >> U64(16), context >> U64(16)
 
     def parts_of(self) -> list[tuple[int, np.ndarray]]:
         """The postings of each part, in the order in which every pass lists them."""
-        part = (self.grams % U64(self.parts)).astype(np.int64)
-        by = np.argsort(part, kind="stable")
-        cut = np.flatnonzero(np.diff(part[by])) + 1
-        return [(int(part[some[0]]), some) for some in np.split(by, cut) if len(some)]
+        if self._parts is None:
+            part = (self.grams % U64(self.parts)).astype(np.min_scalar_type(self.parts))  # few bits: a radix sort
+            by = np.argsort(part, kind="stable")
+            cut = np.flatnonzero(part[by][1:] != part[by][:-1]) + 1
+            self._parts = [(int(part[some[0]]), some) for some in np.split(by, cut) if len(some)]
+        return self._parts
 
 
 def gram_size(min_len: int) -> int:
@@ -251,7 +290,7 @@ def _first_scan(key, table):
     for step in _steps(ids[by], STEP):
         rows = by[step]
         verdict[rows[family.add(grams[rows], contexts[rows], ids[rows])]] = COVERED
-    gram, _, _ = family.merged()
+    gram = np.sort(family.merged()[0])
     several = np.unique(gram[1:][gram[1:] == gram[:-1]])  # grams with more than one context
     if len(several):
         slot = np.minimum(np.searchsorted(several, grams), len(several) - 1)
@@ -312,11 +351,9 @@ def _second_scan(min_len: int):
         family, back = LogFamily(), np.arange(reach + 1)
         for step in _steps(ids[by], max(1, STEP // (reach + 1))):
             rows = by[step]
-            sums = PrefixHash(around[rows].ravel())
             fits = (back <= spans[rows, :1]) & (min_len - back <= spans[rows, 1:])
             row, shift = np.nonzero(fits)
-            start = row * width + reach - shift
-            strings = sums.ranges(start, start + min_len)
+            strings = row_windows(around[rows], min_len)[row, reach - shift]
             seen = family.add(grams[rows][row], strings, ids[rows][row])
             covered[rows[row[seen]], shift[seen]] = True
         bits = np.packbits(covered, axis=1)

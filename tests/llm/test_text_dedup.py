@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from echoloom.llm import near_dup, suffix_dedup
@@ -188,6 +190,35 @@ def test_substring_digests_equal_brute_force(spark, monkeypatch, size, batch, st
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute_removal(docs, size)
 
 
+def test_family_equals_brute_force_also_where_words_clash(monkeypatch):
+    rng = np.random.default_rng(3)
+    for word in (suffix_dedup.LogFamily.word, staticmethod(lambda key, check: (key + check) % np.uint64(4))):
+        monkeypatch.setattr(suffix_dedup.LogFamily, "word", word)
+        family, first, order = suffix_dedup.LogFamily(), {}, 0
+        for size in (0, 5, 200, 1, 40, 300, 7):
+            key, check = rng.integers(0, 12, (2, size)).astype(np.uint64)
+            own = order + np.sort(rng.integers(0, 30, size))
+            order += 30
+            for pair, o in zip(zip(key, check), own):
+                first[pair] = min(o, first.get(pair, o))
+            want = [first[pair] < o for pair, o in zip(zip(key, check), own)]
+            assert family.add(key, check, own).tolist() == want
+        key, check, least = family.merged()
+        assert dict(zip(zip(key, check), least)) == first and len(key) == len(first)
+
+
+def test_batches_are_hashed_in_slices_and_sorted_by_one_word(monkeypatch):
+    texts = [(i, f"{i} " + " ".join(f"w{(i * 7 + k * k) % 997}" for k in range(900))) for i in range(200)]
+    held = []
+    hashed = suffix_dedup.PrefixHash
+    monkeypatch.setattr(suffix_dedup, "PrefixHash", lambda buf: held.append(len(buf)) or hashed(buf))
+    monkeypatch.setattr(np, "lexsort", lambda keys, of=np.lexsort: of(keys) if len(keys[0]) <= len(texts) else pytest.fail("a sort by several keys"))
+    table = pa.table({"doc_id": [i for i, _ in texts], "text": [t for _, t in texts]})
+    posts = suffix_dedup._post(50, 1)((pa.scalar(0),), table)
+    suffix_dedup._first_scan((pa.scalar(0),), posts)
+    assert sum(held) == sum(len(t) for _, t in texts) > 3 * max(held) and max(held) <= 1 << 17
+
+
 def test_substring_query_equals_brute_force(spark, small):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     found = QUERIES["op8_suffix_family"](spark, small)
